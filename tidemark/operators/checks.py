@@ -11,12 +11,14 @@ def key_violations(df: DataFrame, key_cols: list[str]) -> DataFrame:
     return df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
-def require_unique(df: DataFrame, key_cols: list[str], what: str) -> None:
-    """Raise if a key is NULL or occurs more than once."""
-    if not df.where(" OR ".join(f"{c} IS NULL" for c in key_cols)).isEmpty():
-        raise ValueError(f"{what}: NULL in key {key_cols}")
-    if not key_violations(df, key_cols).isEmpty():
-        raise ValueError(f"{what}: key {key_cols} is not unique")
+def require_unique(df: DataFrame, key: str, what: str) -> None:
+    """Raise if ``key`` is NULL in some row or occurs more than once."""
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    about = rows.agg(F.count_if(F.col(key).isNull()).alias("nulls"), F.max("rows").alias("most")).first()
+    if about["nulls"]:
+        raise ValueError(f"{what}: {key} is NULL")
+    if (about["most"] or 0) > 1:
+        raise ValueError(f"{what}: {key} is not unique")
 
 
 def load_audit(queries: DataFrame) -> DataFrame:

@@ -69,12 +69,15 @@ def not_in(facts: DataFrame, other: DataFrame, column: str, other_column: str |
     An empty ``other`` keeps every row; a NULL in it keeps none; otherwise NULL probes drop out.
     Spark's own null-aware anti join always broadcasts the subquery, whatever its size.
     """
-    values = other.select(F.col(other_column or column).alias(column))
-    facts_about = values.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("nulls")
+    values = other.select(F.col(other_column or column).alias(column)).distinct()
+    about = values.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(column).isNull()).alias("nulls"),
+        F.sum(row_bytes(values)).alias("bytes"),
     ).first()
-    if facts_about["n"] == 0:
+    if about["n"] == 0:
         return facts
-    if facts_about["nulls"]:
+    if about["nulls"]:
         return facts.where(F.lit(False))
-    return lookup_join(facts.where(F.col(column).isNotNull()), values.distinct(), [column], "left_anti")
+    small = about["bytes"] <= broadcast_limit(facts)
+    return lookup_join(facts.where(F.col(column).isNotNull()), values, [column], "left_anti", small=small)

@@ -34,7 +34,7 @@ def scd2_apply(
     the same day. A table whose ``close_by`` value is gone from the catalog ends on ``run_date``
     and stays the most recent version; the end moves on with each run unless ``sticky_close``.
     """
-    require_unique(incoming, ["schema_table"], "incoming catalog")
+    require_unique(incoming, "schema_table", "incoming catalog")
     latest = current.agg(F.max("start_date")).first()[0]
     if latest is not None and latest > run_date:
         raise ValueError(f"run date {run_date} lies before the stored start date {latest}")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import durable
+
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "lineitem", "orders", "events", "pages"]
 
 RECIPES: dict[str, str] = {}
@@ -250,14 +252,25 @@ DIALECT = {
 }
 
 
+# Catalog-sized inputs that many queries read: written once per session, like the stored tables they stand for.
+STORED = {"internal_raw", "catalog", "catalog_next", "tables", "object_deps", "part_names", "nation_names"}
+
+
 class Inputs:
     """The inputs over one data folder, built on first use."""
 
+    _open: dict[tuple[str, str], Inputs] = {}
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
         self._frames: dict[str, DataFrame] = {}
 
+    @classmethod
+    def over(cls, spark: SparkSession, root: str) -> Inputs:
+        """The session's inputs over ``root``."""
+        return cls._open.setdefault((spark.sparkContext.applicationId, root), cls(spark, root))
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in RECIPES:
@@ -265,7 +278,8 @@ class Inputs:
                 used = {n: self[n] for n in [*DRIVER_TABLES, *RECIPES] if "{" + n + "}" in text}
                 for key, expression in DIALECT["spark"].items():
                     text = text.replace("{" + key + "}", expression)
-                self._frames[name] = self.spark.sql(text, **used)
+                frame = self.spark.sql(text, **used)
+                self._frames[name] = durable(frame) if name in STORED else frame
             else:
                 self._frames[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._frames[name]
