@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import qualified
+from tidemark.operators.joins import lookup_join
 from tidemark.sources.contracts import TABLE_ATTRIBUTES
 
 EXTERNAL_ID = -1
@@ -40,7 +41,8 @@ def internal_catalog(internal: DataFrame) -> DataFrame:
 def table_creation_times(class_info: DataFrame, namespaces: DataFrame) -> DataFrame:
     """Creation time per internal table."""
     names = namespaces.select(F.col("oid").alias("relnamespace"), F.trim("nspname").alias("nspname"))
-    known = catalog_filter(class_info.join(names, "relnamespace", "left"), "nspname")
+    placed = lookup_join(class_info, names, ["relnamespace"], "left", salt_by=["reloid"])
+    known = catalog_filter(placed, "nspname")
     return known.select(
         F.col("reloid").cast("int").alias("table_id"),
         qualified(F.col("nspname"), F.trim("relname")).alias("schema_table"),

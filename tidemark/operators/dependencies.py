@@ -22,9 +22,8 @@ def view_dependency(pg_class: DataFrame, pg_depend: DataFrame, pg_namespace: Dat
 
     Both sides are made distinct before they meet on the rule, so repeated entries do not multiply.
     """
-    objects = pg_class.join(
-        pg_namespace.select(F.col("oid").alias("relnamespace"), "nspname"), "relnamespace", "left"
-    )
+    namespaces = pg_namespace.select(F.col("oid").alias("relnamespace"), "nspname")
+    objects = lookup_join(pg_class, namespaces, ["relnamespace"], "left", salt_by=["oid"])
     source = objects.select(
         F.col("oid").alias("src_oid"),
         F.col("nspname").alias("src_schemaname"),
@@ -170,7 +169,7 @@ def attribute_queries(queries: DataFrame, tables: DataFrame, object_deps: DataFr
     targets = _named_targets(tables, object_deps)
     names = longest_match(contains_join(targets, queries, "name", "querytxt", ["query_id"]), ["query_id"])
     current = tables.where("most_recent").select("table_name", "schema_name", "schema_table", "objectsrc")
-    meaning = targets.join(current, "schema_table").distinct()
+    meaning = lookup_join(targets, current, ["schema_table"], salt_by=["name"]).distinct()
     narrow = (
         lookup_join(names.select("query_id", "name"), meaning, ["name"], salt_by=["query_id"])
         .select("query_id", *current.columns)

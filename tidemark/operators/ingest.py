@@ -56,9 +56,12 @@ def ingest_incremental(
 
 
 def query_search(queries: DataFrame, needle: str, min_seconds: int) -> DataFrame:
-    """Queries whose text holds ``needle`` and that ran longer than ``min_seconds``, by start time."""
+    """Queries whose text holds ``needle`` and that ran longer than ``min_seconds``, by start time.
+
+    The further sort columns let a start time shared by many queries spread over several tasks.
+    """
     return (
         queries.where(F.col("querytxt").contains(needle) & (F.col("duration_second") > min_seconds))
         .select("starttime", "duration_second", "usename", "aborted", "querytxt")
-        .orderBy("starttime")
+        .orderBy("starttime", "duration_second", "usename", "aborted")
     )

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from tidemark.session import durable
+
 BROADCAST_BYTES_CONF = "spark.tidemark.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 32
@@ -37,14 +39,18 @@ def lookup_join(
     salt_by: list[str] | None = None,
     small: bool | None = None,
     null_safe: bool = False,
+    computed: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to a much smaller ``lookup`` (inner, left, left_semi or left_anti).
 
     A lookup measured below the broadcast limit is broadcast, so facts do not move. Above it both
     sides shuffle on the key plus a salt: ``salt_by`` names the columns that differ within a hot
     key, and the lookup is repeated once per salt. The salt depends on row values only, so a
-    recomputed task sends each row to the same place.
+    recomputed task sends each row to the same place. A ``computed`` lookup, one that takes a large
+    scan to make, is written out first, so that measuring it does not make it twice.
     """
+    if computed:
+        lookup = durable(lookup)
     if small is None:
         small = fits_broadcast(lookup)
     keys = list(on)
@@ -69,7 +75,7 @@ def not_in(facts: DataFrame, other: DataFrame, column: str, other_column: str |
     An empty ``other`` keeps every row; a NULL in it keeps none; otherwise NULL probes drop out.
     Spark's own null-aware anti join always broadcasts the subquery, whatever its size.
     """
-    values = other.select(F.col(other_column or column).alias(column)).distinct()
+    values = durable(other.select(F.col(other_column or column).alias(column)).distinct())
     about = values.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(column).isNull()).alias("nulls"),

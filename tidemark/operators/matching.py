@@ -20,21 +20,19 @@ from tidemark.operators.joins import broadcast_limit, lookup_join, row_bytes
 DOT = r"\."
 
 
-def _dot_sides(text: Column, rest_dots: int) -> Column:
-    """Array of (before, after) for each dot of the text, both up to the neighbouring dots.
+def _dot_sides(pieces: str, rest_dots: int) -> Column:
+    """Array of (before, after) for each dot between the pieces of a text cut at its dots.
 
-    ``after`` runs over ``rest_dots`` further dots, for names that hold more than one.
+    ``before`` reaches back to the dot before; ``after`` runs over ``rest_dots`` further dots, for
+    names that hold more than one.
     """
-    pieces = F.split(text, DOT)
-    count = F.size(pieces)
-    before = F.slice(pieces, F.lit(1), count - 1)
+    dots = F.size(pieces) - 1
+    before = F.slice(pieces, F.lit(1), dots)
     if rest_dots == 0:
-        after = F.slice(pieces, F.lit(2), F.greatest(count - 1, F.lit(0)))
+        after = F.slice(pieces, F.lit(2), dots)
     else:
-        after = F.transform(
-            F.slice(F.sequence(F.lit(1), count), F.lit(2), count - 1),
-            lambda i: F.array_join(F.slice(pieces, i, rest_dots + 1), "."),
-        )
+        places = F.slice(F.sequence(F.lit(1), F.size(pieces)), F.lit(2), dots)
+        after = F.transform(places, lambda i: F.array_join(F.slice(pieces, i, rest_dots + 1), "."))
     return F.arrays_zip(before.alias("before"), after.alias("after"))
 
 
@@ -64,7 +62,8 @@ def contains_join(
     small = about["bytes"] <= broadcast_limit(names)
 
     text = texts.select(*ids, F.col(text_col).alias("_text"))
-    sides = text.select(*ids, "_text", F.inline(_dot_sides(F.col("_text"), about["rest_dots"])).alias("before", "after"))
+    pieces = text.withColumn("_pieces", F.split("_text", DOT))
+    sides = pieces.select(*ids, "_text", F.inline(_dot_sides("_pieces", about["rest_dots"])).alias("before", "after"))
     if not small:
         # The candidates shuffle, so the text stays behind and is joined again at the end.
         sides = sides.drop("_text")

@@ -80,13 +80,14 @@ def interval_close(df: DataFrame, key: str, start_col: str, open_end: dt.date, e
     Rows that share a start share its end. The next start is found on distinct (key, start) pairs,
     of which a key has at most one per day, however many rows it has.
     """
-    following = F.lead(start_col).over(Window.partitionBy(key).orderBy(start_col))
+    by_key = Window.partitionBy("_key").orderBy("_start")
     ends = (
-        df.select(key, start_col)
+        df.select(F.col(key).alias("_key"), F.col(start_col).alias("_start"))
         .distinct()
-        .withColumn(end_col, F.coalesce(F.date_sub(following, 1), day(open_end)))
+        .withColumn(end_col, F.coalesce(F.date_sub(F.lead("_start").over(by_key), 1), day(open_end)))
     )
-    return lookup_join(df, ends, [key, start_col], "left", null_safe=True)
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(start_col).eqNullSafe(F.col("_start"))
+    return df.join(ends, same).drop("_key", "_start")
 
 
 def history_lookup(tables: DataFrame, schema_table: str) -> DataFrame:

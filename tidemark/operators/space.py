@@ -64,7 +64,7 @@ def space_stage(
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose key is not in ``target`` yet. Rows that share a key with each other all stay."""
-    return lookup_join(rows, target.select(*keys).distinct(), keys, "left_anti")
+    return lookup_join(rows, target.select(*keys).distinct(), keys, "left_anti", computed=True)
 
 
 def table_space(internal_space: DataFrame, external_space: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def table_space(internal_space: DataFrame, external_space: DataFrame) -> DataFra
             .withColumn("_newest", F.lit(1))
         )
         rows = space if "tbl_rows" in space.columns else space.withColumn("tbl_rows", F.lit(None).cast("decimal(38,0)"))
-        return lookup_join(rows, newest, [key, "snapshot_date"], "left").select(
+        return lookup_join(rows, newest, [key, "snapshot_date"], "left", computed=True).select(
             "snapshot_date",
             "table_id",
             "schema_table",

@@ -63,16 +63,16 @@ def size_islands(
     the key's days with these values. Both are taken over distinct days, so a group of either
     window is no longer than the calendar, however many rows the key has.
     """
-    days = snapshots.select(key, date_col).distinct()
-    all_days = Window.partitionBy(key).orderBy(date_col)
-    ranked_days = days.withColumn("_all", F.row_number().over(all_days))
+    days = snapshots.select(F.col(key).alias("_key"), F.col(date_col).alias("_day")).distinct()
+    ranked_days = days.withColumn("_all", F.row_number().over(Window.partitionBy("_key").orderBy("_day")))
     same_values = Window.partitionBy(key, *value_cols).orderBy(date_col)
     ranked_values = (
         snapshots.select(key, *value_cols, date_col).distinct().withColumn("_same", F.row_number().over(same_values))
     )
-    ranked = lookup_join(ranked_values, ranked_days, [key, date_col], salt_by=value_cols, null_safe=True)
+    same_day = F.col(key).eqNullSafe(F.col("_key")) & F.col(date_col).eqNullSafe(F.col("_day"))
     return (
-        ranked.groupBy(key, *value_cols, (F.col("_all") - F.col("_same")).alias("_run"))
+        ranked_values.join(ranked_days, same_day)
+        .groupBy(key, *value_cols, (F.col("_all") - F.col("_same")).alias("_run"))
         .agg(F.min(date_col).alias("start_date"))
         .select("start_date", key, *value_cols)
     )
@@ -98,9 +98,15 @@ def _by_day(intervals: DataFrame, span: tuple[dt.date, dt.date]) -> DataFrame:
     )
 
 
-def asof_scd_join(spine: DataFrame, tables: DataFrame, span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-    """The version of each table that was valid on each day of the spine."""
+def asof_scd_join(
+    spine: DataFrame,
+    tables: DataFrame,
+    span: tuple[dt.date, dt.date] | None = None,
+    also: tuple[str, ...] = (),
+) -> DataFrame:
+    """The version of each table that was valid on each day of the spine, with the columns ``also``."""
     attributes = tables.select(
+        *also,
         "start_date",
         "end_date",
         "schema_table",
@@ -175,7 +181,7 @@ def size_excludes_latest(excludes: DataFrame, external_space: DataFrame) -> Data
     """The newest reasons why an external table has no size; tables that have one drop out."""
     open_ = not_in(excludes, external_space, "schema_table")
     newest = open_.groupBy("schema_table").agg(F.max("created_at").alias("created_at"))
-    return lookup_join(open_, newest, ["schema_table", "created_at"], salt_by=["exclude_reason"]).select(
+    return lookup_join(open_, newest, ["schema_table", "created_at"], computed=True).select(
         "schema_table", "exclude_reason"
     )
 
@@ -194,21 +200,21 @@ def table_stats_byday(
 
     The queries are summed up per table and day before they meet the spine. Spine rows that fall
     into one group (a table with two equal exclusion reasons, say) are counted first, because
-    the sum of aborted queries counts a query once for each of them. All joins and the grouping
-    share the key (table, day).
+    the sum of aborted queries counts a query once for each of them. All joins by day and the
+    grouping share the key (table, day), so the spine is partitioned once; the reasons join the
+    table versions before those unfold into days.
     """
     span = (min_date + dt.timedelta(days=1), last_full_day(run_ts))
     spine = calendar_spine(object_lifespan(tables, run_ts), calendar, run_ts, min_date).select(*KEY)
-    described = asof_scd_join(spine, tables, span)
+    reasons = size_excludes_latest(excludes, external_space)
+    described = asof_scd_join(spine, tables.join(reasons, "schema_table", "left"), span, ("exclude_reason",))
     sized = forward_fill_sizes(
         described,
         size_intervals(internal_space, ["tablesize_kb", "tbl_rows"]),
         size_intervals(external_space, ["tablesize_kb"]),
         span,
     )
-    reasons = size_excludes_latest(excludes, external_space)
-    explained = lookup_join(sized, reasons, ["schema_table"], "left", salt_by=["date"])
-    grouped = explained.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_repeats"))
+    grouped = sized.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_repeats"))
     used = daily_usage_join(grouped, query_deps, "_repeats")
     return used.select(
         F.col("date").alias("snapshot_date"),
