@@ -3,6 +3,7 @@ import pytest
 from tests.conftest import d, rows, ts
 from tidemark.operators.catalog import catalog_filter, catalog_union, table_creation_times
 from tidemark.operators.scd import changed_rows, history_lookup, interval_close, scd2_apply
+from tidemark.session import durable
 from tidemark.sources import INPUTS, TABLE_ATTRIBUTES, TARGETS, empty_target
 
 ATTRIBUTES_DDL = TARGETS["tables"].split("most_recent boolean, ")[1].rsplit(", created_at", 1)[0]
@@ -27,7 +28,7 @@ def run(spark, seen):
     def apply(*runs, **options):
         history = empty_target(spark, "tables")
         for day, tables in runs:
-            history = scd2_apply(history, seen(*tables), day, **options)
+            history = durable(scd2_apply(history, seen(*tables), day, **options))
         return rows(history, *LIFE)
 
     return apply
