@@ -168,11 +168,5 @@ def attribute_queries(queries: DataFrame, tables: DataFrame, object_deps: DataFr
     """
     targets = _named_targets(tables, object_deps)
     names = longest_match(contains_join(targets, queries, "name", "querytxt", ["query_id"]), ["query_id"])
-    current = tables.where("most_recent").select("table_name", "schema_name", "schema_table", "objectsrc")
-    meaning = lookup_join(targets, current, ["schema_table"], salt_by=["name"]).distinct()
-    narrow = (
-        lookup_join(names.select("query_id", "name"), meaning, ["name"], salt_by=["query_id"])
-        .select("query_id", *current.columns)
-        .distinct()
-    )
-    return narrow.join(queries.select(*QUERY_COLUMNS), "query_id").select(*current.columns, *QUERY_COLUMNS)
+    used = lookup_join(names.select("query_id", "name"), targets, ["name"], salt_by=["query_id"])
+    return query_dependencies(used, tables, queries)

@@ -12,7 +12,7 @@ large share of all names costs no more than a rare one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import broadcast_limit, lookup_join, row_bytes
@@ -20,22 +20,6 @@ from tidemark.operators.joins import broadcast_limit, lookup_join, row_bytes
 DOT = r"\."
 
 
-def _dot_sides(pieces: str, rest_dots: int) -> Column:
-    """Array of (before, after) for each dot between the pieces of a text cut at its dots.
-
-    ``before`` reaches back to the dot before; ``after`` runs over ``rest_dots`` further dots, for
-    names that hold more than one.
-    """
-    dots = F.size(pieces) - 1
-    before = F.slice(pieces, F.lit(1), dots)
-    if rest_dots == 0:
-        after = F.slice(pieces, F.lit(2), dots)
-    else:
-        places = F.slice(F.sequence(F.lit(1), F.size(pieces)), F.lit(2), dots)
-        after = F.transform(places, lambda i: F.array_join(F.slice(pieces, i, rest_dots + 1), "."))
-    return F.arrays_zip(before.alias("before"), after.alias("after"))
-
-
 def contains_join(
     names: DataFrame, texts: DataFrame, name_col: str = "name", text_col: str = "text", id_cols: list[str] | None = None
 ) -> DataFrame:
@@ -63,7 +47,12 @@ def contains_join(
 
     text = texts.select(*ids, F.col(text_col).alias("_text"))
     pieces = text.withColumn("_pieces", F.split("_text", DOT))
-    sides = pieces.select(*ids, "_text", F.inline(_dot_sides("_pieces", about["rest_dots"])).alias("before", "after"))
+    dots = pieces.select("*", F.posexplode(F.slice("_pieces", F.lit(1), F.size("_pieces") - 1)).alias("_dot", "before"))
+    if about["rest_dots"] == 0:
+        after = F.element_at("_pieces", F.col("_dot") + 2)
+    else:  # names with further dots reach over as many pieces
+        after = F.array_join(F.slice("_pieces", F.col("_dot") + 2, F.lit(about["rest_dots"] + 1)), ".")
+    sides = dots.select(*ids, "_text", "_dot", "before", after.alias("after"))
     if not small:
         # The candidates shuffle, so the text stays behind and is joined again at the end.
         sides = sides.drop("_text")
@@ -72,7 +61,7 @@ def contains_join(
         sides.withColumn("_length", F.explode(lengths))
         .where(F.col("_length") <= F.length("before"))
         .withColumn("head", F.right("before", F.col("_length")))
-        .drop("before", "_length")
+        .drop("before")
     )
     shapes = dictionary.select("head", rest.alias("_rest")).distinct()
     known = lookup_join(endings, shapes, ["head"], "inner", salt_by=ids, small=small)
@@ -82,11 +71,16 @@ def contains_join(
     hits = lookup_join(
         candidates.drop("head", "after", "_rest"), dictionary.select("name"), ["name"], "left_semi", salt_by=ids, small=small
     )
-    location = F.instr("_text", F.col("name")).alias("match_location")
+    location = F.instr("_text", F.col("name"))
     if small:
-        found = hits.select(*ids, "name", location).repartition(*ids).dropDuplicates([*ids, "name"])
+        # Of the hits of a name only the one at its first occurrence stays.
+        place = F.length(F.call_function("substring_index", "_text", F.lit("."), F.col("_dot") + 1)) - F.col("_length") + 1
+        found = (
+            hits.where(location == place).select(*ids, "name", place.alias("match_location")).repartition(*ids)
+        )
     else:
-        found = hits.repartition(*ids).dropDuplicates([*ids, "name"]).join(text, ids).select(*ids, "name", location)
+        distinct = hits.select(*ids, "name").repartition(*ids).dropDuplicates()
+        found = distinct.join(text, ids).select(*ids, "name", location.alias("match_location"))
     return found.withColumn("name_length", F.length("name"))
 
 
