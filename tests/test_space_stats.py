@@ -209,19 +209,20 @@ def direct_stats(spark, run_ts, **views):
     interval_close(stats.size_islands(views["external"], "schema_table", ["tablesize_kb"]), "schema_table", "start_date",
                    SIZE_END).createOrReplaceTempView("se")
     stats.size_excludes_latest(views["excludes"], views["external"]).createOrReplaceTempView("ex")
-    stats.object_lifespan(views["tables"], run_ts).createOrReplaceTempView("mm")
-    return spark.sql(f"""
-        SELECT c.date, mm.schema_table, t.encoded, coalesce(cast(si.tablesize_kb AS double), se.tablesize_kb) AS kb,
-          si.tbl_rows, ex.exclude_reason, count(DISTINCT q.query_id) AS n, count(DISTINCT q.usename) AS u,
-          coalesce(sum(q.aborted), 0) AS aborted, coalesce(min(q.duration_second), 0) AS lo,
-          coalesce(max(q.duration_second), 0) AS hi,
+    life = stats.object_lifespan(views["tables"], run_ts)
+    stats.calendar_spine(life, views["calendar"], run_ts).createOrReplaceTempView("spine")
+    return spark.sql("""
+        WITH known AS (
+          SELECT spine.date, spine.schema_table, t.encoded, coalesce(cast(si.tablesize_kb AS double), se.tablesize_kb) AS kb,
+            si.tbl_rows, ex.exclude_reason
+          FROM spine JOIN tables t ON t.schema_table = spine.schema_table AND date >= t.start_date AND date <= t.end_date
+          LEFT JOIN ex ON ex.schema_table = spine.schema_table
+          LEFT JOIN si ON si.schema_table = spine.schema_table AND date >= si.start_date AND date <= si.end_date
+          LEFT JOIN se ON se.schema_table = spine.schema_table AND date >= se.start_date AND date <= se.end_date)
+        SELECT known.*, count(DISTINCT q.query_id) AS n, count(DISTINCT q.usename) AS u, coalesce(sum(q.aborted), 0) AS aborted,
+          coalesce(min(q.duration_second), 0) AS lo, coalesce(max(q.duration_second), 0) AS hi,
           coalesce(sum(q.duration_second) div nullif(count(q.duration_second), 0), 0) AS mean
-        FROM mm JOIN calendar c ON c.date BETWEEN mm.fd AND mm.ld AND c.date < timestamp_ntz'{run_ts}' AND c.date > date'2021-11-11'
-        JOIN tables t ON t.schema_table = mm.schema_table AND c.date BETWEEN t.start_date AND t.end_date
-        LEFT JOIN used q ON q.schema_table = mm.schema_table AND c.date = cast(q.starttime AS date)
-        LEFT JOIN si ON si.schema_table = mm.schema_table AND c.date BETWEEN si.start_date AND si.end_date
-        LEFT JOIN se ON se.schema_table = mm.schema_table AND c.date BETWEEN se.start_date AND se.end_date
-        LEFT JOIN ex ON ex.schema_table = mm.schema_table
+        FROM known LEFT JOIN used q ON q.schema_table = known.schema_table AND known.date = cast(q.starttime AS date)
         GROUP BY ALL""")
 
 

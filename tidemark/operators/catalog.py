@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from tidemark.functions import qualified
 from tidemark.operators.joins import lookup_join
 from tidemark.sources.contracts import TABLE_ATTRIBUTES
-
-EXTERNAL_ID = -1
+from tidemark.sources.fixed_values import (
+    CLUSTER_LOCATION,
+    EXTERNAL_ID,
+    EXTERNAL_TABLE,
+    INTERNAL_TABLE,
+    SYSTEM_SCHEMA,
+    TEMPORARY_SCHEMAS,
+)
 
 
 def catalog_filter(
-    df: DataFrame, schema_col: str, exclude: tuple[str, ...] = ("pg_catalog",), exclude_like: str = "pg_temp%"
+    df: DataFrame, schema_col: str, exclude: tuple[str, ...] = (SYSTEM_SCHEMA,), exclude_like: str = TEMPORARY_SCHEMAS
 ) -> DataFrame:
     """Drop system and temporary schemas; rows without a schema name drop out too."""
     schema = F.col(schema_col)
@@ -28,7 +34,7 @@ def internal_catalog(internal: DataFrame) -> DataFrame:
         table.alias("table_name"),
         schema.alias("schema_name"),
         qualified(schema, table).alias("schema_table"),
-        F.lit("cluster").alias("location"),
+        F.lit(CLUSTER_LOCATION).alias("location"),
         "encoded",
         "diststyle",
         "sortkey1",
@@ -56,7 +62,7 @@ def catalog_union(internal: DataFrame, creation_times: DataFrame, external: Data
     inside = (
         internal_catalog(internal)
         .join(times, "table_id", "left")
-        .withColumn("objectsrc", F.lit("internal_table"))
+        .withColumn("objectsrc", F.lit(INTERNAL_TABLE))
     )
     schema, table = F.trim("schemaname"), F.trim("tablename")
     outside = external.select(
@@ -64,7 +70,7 @@ def catalog_union(internal: DataFrame, creation_times: DataFrame, external: Data
         table.alias("table_name"),
         schema.alias("schema_name"),
         qualified(schema, table).alias("schema_table"),
-        F.lit("spectrum_table").alias("objectsrc"),
+        F.lit(EXTERNAL_TABLE).alias("objectsrc"),
         "location",
         "input_format",
         "output_format",

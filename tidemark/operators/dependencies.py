@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from tidemark.functions import qualified
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.matching import contains_join, longest_match
+from tidemark.sources.fixed_values import (
+    EXTERNAL_TABLE,
+    INTERNAL_DEPENDENCY,
+    INTERNAL_TABLE,
+    SYSTEM_SCHEMA,
+    UNKNOWN_OID,
+    VIEW,
+    VIEW_KIND,
+)
 
-UNKNOWN_OID = -1
 EDGE_COLUMNS = [
     "dependent_schema_objectname", "src_schema_table", "src_objectsrc", "table_id", "dependent_oid",
     "dependent_objectsrc",
@@ -29,14 +37,14 @@ def view_dependency(pg_class: DataFrame, pg_depend: DataFrame, pg_namespace: Dat
         F.col("nspname").alias("src_schemaname"),
         F.col("relname").alias("src_objectname"),
     )
-    view = objects.where(F.col("relkind") == "v").select(
+    view = objects.where(F.col("relkind") == VIEW_KIND).select(
         F.col("oid").alias("dependent_viewoid"),
         F.col("nspname").alias("dependent_schemaname"),
         F.col("relname").alias("dependent_objectname"),
     )
     reads = pg_depend.select("objid", F.col("refobjid").alias("src_oid")).distinct()
     rules = (
-        pg_depend.where(F.col("deptype") == "i").select("objid", F.col("refobjid").alias("dependent_viewoid")).distinct()
+        pg_depend.where(F.col("deptype") == INTERNAL_DEPENDENCY).select("objid", F.col("refobjid").alias("dependent_viewoid")).distinct()
     )
     pairs = lookup_join(reads, rules.join(view, "dependent_viewoid"), ["objid"], salt_by=["src_oid"])
     found = lookup_join(
@@ -48,7 +56,7 @@ def view_dependency(pg_class: DataFrame, pg_depend: DataFrame, pg_namespace: Dat
 
 def internal_view_edges(dependencies: DataFrame) -> DataFrame:
     """View edges to internal tables, with qualified names; catalog schemas drop out."""
-    return dependencies.where(~F.col("src_schemaname").isin("pg_catalog")).select(
+    return dependencies.where(~F.col("src_schemaname").isin(SYSTEM_SCHEMA)).select(
         F.col("src_oid").cast("int").alias("table_id"),
         "src_schemaname",
         "src_objectname",
@@ -62,7 +70,7 @@ def internal_view_edges(dependencies: DataFrame) -> DataFrame:
 
 def view_text_match(view_defs: DataFrame, tables: DataFrame) -> DataFrame:
     """External tables named in view definitions, all matches."""
-    external = tables.where(F.col("most_recent") & (F.col("objectsrc") == "spectrum_table")).select(
+    external = tables.where(F.col("most_recent") & (F.col("objectsrc") == EXTERNAL_TABLE)).select(
         F.col("table_id").cast("int").alias("table_id"),
         F.col("schema_name").alias("src_schemaname"),
         F.col("table_name").alias("src_objectname"),
@@ -105,11 +113,11 @@ def object_dependencies(internal_edges: DataFrame, external_edges: DataFrame) ->
     """All view edges in one list."""
 
     def edges(df: DataFrame, source: str) -> DataFrame:
-        return df.withColumn("src_objectsrc", F.lit(source)).withColumn("dependent_objectsrc", F.lit("view")).select(
+        return df.withColumn("src_objectsrc", F.lit(source)).withColumn("dependent_objectsrc", F.lit(VIEW)).select(
             *EDGE_COLUMNS
         )
 
-    return edges(internal_edges, "internal_table").unionByName(edges(external_edges, "spectrum_table"))
+    return edges(internal_edges, INTERNAL_TABLE).unionByName(edges(external_edges, EXTERNAL_TABLE))
 
 
 def dependency_lookup(edges: DataFrame, view: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import moment, seconds_between
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.numbering import global_row_number
+from tidemark.sources.fixed_values import BEGINNING, UNKNOWN_USER
 
-BEGINNING = dt.datetime(1900, 1, 1)
 LOG_COLUMNS = ["userid", "querytxt", "starttime", "endtime", "aborted"]
 
 
@@ -46,7 +46,7 @@ def ingest_incremental(
         "query_id",
         "userid",
         "querytxt",
-        F.coalesce("usename", F.lit("unknown")).alias("usename"),
+        F.coalesce("usename", F.lit(UNKNOWN_USER)).alias("usename"),
         seconds_between("starttime", "endtime").alias("duration_second"),
         "starttime",
         "endtime",

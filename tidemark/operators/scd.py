@@ -11,8 +11,7 @@ from tidemark.functions import day, moment
 from tidemark.operators.checks import require_unique
 from tidemark.operators.joins import lookup_join, not_in
 from tidemark.sources.contracts import TABLE_ATTRIBUTES
-
-OPEN_END = dt.date(2999, 1, 1)
+from tidemark.sources.fixed_values import OPEN_END
 
 
 def changed_rows(incoming: DataFrame, current: DataFrame, attrs: list[str]) -> DataFrame:

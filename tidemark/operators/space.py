@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import day, kb_to_gb, local_day, moment, qualified
-from tidemark.operators.catalog import EXTERNAL_ID
 from tidemark.operators.ingest import high_water_mark
 from tidemark.operators.joins import lookup_join
-
-FIRST_STAGED_DAY = dt.date(2021, 11, 15)
+from tidemark.sources.fixed_values import (
+    EXTERNAL_ID,
+    EXTERNAL_SPACE,
+    FIRST_STAGED_DAY,
+    INTERNAL_SPACE,
+    SNAPSHOT_ZONE,
+)
 
 
 def internal_snapshot(source: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -50,7 +54,7 @@ def snapshot_replace_day(stored: DataFrame, source: DataFrame, run_ts: dt.dateti
 
 
 def space_stage(
-    stage: DataFrame, tz: str = "America/New_York", min_date: dt.date = FIRST_STAGED_DAY
+    stage: DataFrame, tz: str = SNAPSHOT_ZONE, min_date: dt.date = FIRST_STAGED_DAY
 ) -> DataFrame:
     """External sizes by local day. The cut at ``min_date`` goes by the UTC day of the same column."""
     recent = stage.where(F.col("created_at") >= moment(dt.datetime.combine(min_date, dt.time())))
@@ -90,6 +94,6 @@ def table_space(internal_space: DataFrame, external_space: DataFrame) -> DataFra
             F.coalesce("_newest", F.lit(0)).alias("last_snd_flag"),
         )
 
-    return flagged(internal_space, "table_id", "internal").unionByName(
-        flagged(external_space, "schema_table", "external")
+    return flagged(internal_space, "table_id", INTERNAL_SPACE).unionByName(
+        flagged(external_space, "schema_table", EXTERNAL_SPACE)
     )

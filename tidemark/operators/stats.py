@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import average_whole, day
-from tidemark.operators.catalog import EXTERNAL_ID
 from tidemark.operators.joins import lookup_join, not_in
 from tidemark.operators.scd import interval_close
+from tidemark.sources.fixed_values import (
+    COLLECTION_START,
+    EXTERNAL_ID,
+    EXTERNAL_TABLE,
+    INTERNAL_TABLE,
+    SIZE_OPEN_END,
+)
 
-COLLECTION_START = dt.date(2021, 11, 11)
-SIZE_OPEN_END = dt.date(2099, 1, 1)
 KEY = ["schema_table", "date"]
 # What the rows of the daily table are grouped by.
 GROUP = [
@@ -242,7 +246,7 @@ def table_stats_byday(
 
 def data_lake_stats_byday(table_stats: DataFrame) -> DataFrame:
     """Totals per day: tables, sizes, durations and the share of aborted queries, by source."""
-    inside, outside = F.col("objectsrc") == "internal_table", F.col("objectsrc") == "spectrum_table"
+    inside, outside = F.col("objectsrc") == INTERNAL_TABLE, F.col("objectsrc") == EXTERNAL_TABLE
 
     def tables(condition: Column) -> Column:
         return F.sum(F.when(condition, 1).otherwise(0))
