@@ -29,9 +29,11 @@ def view_dependency(pg_class: DataFrame, pg_depend: DataFrame, pg_namespace: Dat
     """Views and the objects they read, through the rewrite rule both depend on.
 
     Both sides are made distinct before they meet on the rule, so repeated entries do not multiply.
+    These joins stay plain: catalogs are small beside the log, and adaptive execution splits a rule
+    or a schema that holds many rows.
     """
     namespaces = pg_namespace.select(F.col("oid").alias("relnamespace"), "nspname")
-    objects = lookup_join(pg_class, namespaces, ["relnamespace"], "left", salt_by=["oid"])
+    objects = pg_class.join(namespaces, "relnamespace", "left")
     source = objects.select(
         F.col("oid").alias("src_oid"),
         F.col("nspname").alias("src_schemaname"),
@@ -46,11 +48,8 @@ def view_dependency(pg_class: DataFrame, pg_depend: DataFrame, pg_namespace: Dat
     rules = (
         pg_depend.where(F.col("deptype") == INTERNAL_DEPENDENCY).select("objid", F.col("refobjid").alias("dependent_viewoid")).distinct()
     )
-    pairs = lookup_join(reads, rules.join(view, "dependent_viewoid"), ["objid"], salt_by=["src_oid"])
-    found = lookup_join(
-        pairs.where(F.col("src_oid") != F.col("dependent_viewoid")).drop("objid"), source, ["src_oid"],
-        salt_by=["dependent_viewoid"],
-    )
+    pairs = reads.join(rules.join(view, "dependent_viewoid"), "objid")
+    found = pairs.where(F.col("src_oid") != F.col("dependent_viewoid")).join(source, "src_oid")
     return found.select(*source.columns, *view.columns).distinct()
 
 
@@ -103,9 +102,7 @@ def external_view_edges(view_defs: DataFrame, tables: DataFrame, internal_edges:
 def view_oid_backfill(external_edges: DataFrame, internal_edges: DataFrame) -> DataFrame:
     """Give external edges the view id that the view's internal edges carry; others keep theirs."""
     known = internal_edges.groupBy("dependent_schema_objectname").agg(F.min("dependent_oid").alias("_oid"))
-    filled = lookup_join(
-        external_edges, known, ["dependent_schema_objectname"], "left", salt_by=["src_schema_table"]
-    )
+    filled = external_edges.join(known, "dependent_schema_objectname", "left")
     return filled.withColumn("dependent_oid", F.coalesce("_oid", "dependent_oid")).drop("_oid")
 
 
