@@ -22,7 +22,10 @@ def global_row_number(df: DataFrame, order_cols: list[str], start: int = 0, out:
     """
     spread = df.withColumn("_origin", F.spark_partition_id())
     keys = [*order_cols, "_origin"]
-    ordered = spread.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # A given number keeps adaptive execution from merging partitions: copies compress so well that
+    # many of them look small.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = spread.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     # monotonically_increasing_id is (partition << 33) + row index.
     placed = durable(
         ordered.select(
