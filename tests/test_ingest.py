@@ -8,7 +8,9 @@ from tests.conftest import rows, ts
 from tidemark.functions import average_whole, local_day, seconds_between
 from tidemark.operators.checks import key_violations, load_audit, preview
 from tidemark.operators.ingest import high_water_mark, ingest_incremental, query_search
+from tidemark.operators import numbering
 from tidemark.operators.numbering import global_row_number
+from tidemark.session import durable
 from tidemark.sources import INPUTS, TARGETS, empty_target
 
 ORDER = ["starttime", "endtime", "userid", "querytxt", "aborted"]
@@ -104,6 +106,16 @@ def test_numbers_equal_the_global_window_with_hot_copies(log):
     assert rows(ours, "query_id", *ORDER) == rows(plain, "query_id", *ORDER)
 
 
+def test_copies_spread_over_partitions(log, monkeypatch):
+    written = []
+    monkeypatch.setattr(numbering, "durable", lambda df: written.append(durable(df)) or written[-1])
+    copies = [entry(1, "hot", "2024-01-01 10:00:00")] * 2000
+    others = [entry(2, f"q{n}", f"2024-01-01 10:{n // 60:02d}:{n % 60:02d}") for n in range(1000)]
+    assert global_row_number(log(*copies, *others).repartition(8), ORDER).count() == 3000
+    sizes = [r[1] for r in written[0].groupBy("_part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1500
+
+
 def test_numbering_an_empty_log(log):
     assert global_row_number(log(), ORDER).count() == 0
 
