@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import oracle
 from tidemark.llm.common import table
 from tidemark.llm.packing import pack
+from tidemark.llm.simhash import simhash_components
+from tidemark.llm.topk import top_k
 from tidemark.llm.token_counts import token_counts
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -19,9 +26,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_counts, op5_packing)}
+    return {f.__name__: f for f in (op1_simhash, op4_token_counts, op5_packing, op9_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_top_k": oracle.OP9}
