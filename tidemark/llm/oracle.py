@@ -14,3 +14,29 @@ WITH v AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 5
 """
+
+OP2 = """
+WITH a AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), c AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^(?:www|m)\\.', ''), ':(?:80|443)$', '')
+    || regexp_replace(regexp_replace(path, '/{2,}', '/', 'g'), '(?:\\.html)?/?$', '') AS page,
+    len(list_intersect(string_split(host, '.'),
+      ['ads-track', 'free-bets', 'cheap-pills', 'spam-farm', 'casino-win', 'adult-x'])) > 0 AS bad
+  FROM a
+), r(action, rule, name, start) AS (
+  VALUES ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'),
+    ('allow', 'www.example.com/en/', 'www.example.com', '/en/'), ('block', 'net/es/', 'net', '/es/'),
+    ('block', 'net/fr/', 'net', '/fr/')
+)
+SELECT page_id, host, path, m.rule, coalesce(m.action, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+FROM (
+  SELECT c.*, page IN (SELECT page FROM c WHERE bad) AS listed,
+    (SELECT max_by({'rule': rule, 'action': action}, length(rule)) FROM r
+     WHERE (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)) AS m
+  FROM c
+)
+"""

@@ -48,12 +48,15 @@ class WordIds:
     looked up once and remembered. Texts with special strings or rare scripts go to the library whole.
     """
 
-    #: The word pattern in the tokenizer's file; no word holds white space.
+    #: The word pattern in the tokenizer's file, and the same for Latin script; no word holds white space.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+    LATIN = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]++|[0-9]|(?:[^\s\w]|_)++")
+
     def __init__(self, path: str | None):
         from tokenizers import Tokenizer
 
+        self.words = self.LATIN
         self.tokenizer = Tokenizer.from_file(path or word_bpe_path())
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -61,11 +64,20 @@ class WordIds:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
+        self.word_ids: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[bytes]:
         encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encodings]
 
+    def learn(self, chunks: set[str]) -> None:
+        """Remember ``chunks``, each made of words of which every distinct one is encoded once."""
+        split = {chunk: self.words.findall(chunk) for chunk in chunks}
+        new = sorted({word for words in split.values() for word in words}.difference(self.word_ids))
+        self.word_ids.update(zip(new, self.library(new), strict=True))
+        for chunk, words in split.items():
+            self.known[chunk] = b"".join([self.word_ids[word] for word in words])
+
     def of(self, texts: list[str]) -> list[bytes]:
         split = [
             text.lower().split()
@@ -73,14 +85,18 @@ class WordIds:
             else None
             for text in texts
         ]
-        new = set().union(*(words for words in split if words)).difference(self.known)
-        if len(self.known) + len(new) > WORDS:
+        if len(self.known) > WORDS:
             self.known.clear()
-            new = set().union(*(words for words in split if words))
-        words = sorted(new)
-        self.known.update(zip(words, self.library(words), strict=True))
-        rest = iter(self.library([text for text, words in zip(texts, split, strict=True) if words is None]))
-        return [next(rest) if words is None else b"".join(map(self.known.__getitem__, words)) for words in split]
+            self.word_ids.clear()
+        known = self.known
+        found = [chunks and list(map(known.get, chunks)) for chunks in split]
+        gaps = [chunks for chunks, ids in zip(split, found, strict=True) if ids and None in ids]
+        self.learn(set().union(*gaps).difference(known))
+        whole = iter(self.library([text for text, chunks in zip(texts, split, strict=True) if chunks is None]))
+        return [
+            next(whole) if chunks is None else b"".join(map(known.__getitem__, chunks) if ids and None in ids else ids)
+            for chunks, ids in zip(split, found, strict=True)
+        ]
 
 
 def pieces_of(tokens: int, capacity: int = CAPACITY, fine: int = FINE) -> Iterator[tuple[int, int]]:

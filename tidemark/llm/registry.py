@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import oracle
 from tidemark.llm.common import table
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import personal_data
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.topk import top_k
+from tidemark.llm.urls import judge_urls, listed_urls
 from tidemark.llm.token_counts import token_counts
 
 
@@ -18,6 +20,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, listed_urls(pages)).drop("listed")
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -31,8 +42,8 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op4_token_counts, op5_packing, op9_top_k)}
+    return {f.__name__: f for f in (op1_simhash, op2_urls, op3_pii, op4_token_counts, op5_packing, op9_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_top_k": oracle.OP9}
+    return {"op2_urls": oracle.OP2, "op9_top_k": oracle.OP9}
