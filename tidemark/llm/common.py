@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 from collections.abc import Iterator
@@ -54,10 +55,22 @@ def row_key(number: int) -> int:
     return (task_id() << 40) + number
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of Arrow batches as tuples, one batch in memory at a time."""
+def rows_of(batches: Iterator[pa.RecordBatch], at_once: int = 256) -> Iterator[tuple]:
+    """The rows of Arrow batches as tuples; so many at once become Python objects."""
     for batch in batches:
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+        for at in range(0, batch.num_rows, at_once):
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, at_once).columns), strict=True)
+
+
+def load_tokenizer(path: str):
+    """A tokenizer of the tokenizers library; in a task it keeps to the task's own core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_padding()
+    tokenizer.no_truncation()
+    return tokenizer
 
 
 class Rows:
@@ -83,3 +96,23 @@ class Rows:
 def crc_fold(doc_id: str, parts: int):
     """Column: crc32 of the id's text modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def byte_level(piece: str) -> str:
+    """A piece of text as a byte-level model spells it: one printable character per byte."""
+    if piece.isascii():
+        if piece.isalnum():
+            return piece
+        if piece[0] == " " and piece[1:].isalnum():
+            return "\u0120" + piece[1:]
+    return "".join(map(BYTES.__getitem__, piece.encode()))
+
+
+def _spelling() -> list[str]:
+    """Printable bytes stand for themselves, the others for the characters from U+0100 on, in order."""
+    others = iter(range(0x100, 0x200))
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return [chr(b if b in printable else next(others)) for b in range(0x100)]
+
+
+BYTES = _spelling()

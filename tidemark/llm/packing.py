@@ -16,17 +16,17 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LATIN, Rows, row_key
+from tidemark.llm.common import LATIN, Rows, byte_level, load_tokenizer, row_key, rows_of
 
 CAPACITY, FINE = 4096, 32
-#: Distinct words whose ids a task remembers, and texts it looks up at once.
-WORDS, AT_ONCE = 500_000, 200
+#: Distinct words whose ids a task remembers.
+WORDS = 500_000
 END_ID = 2
 
 PIECES = pa.schema([
@@ -41,62 +41,53 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Known(dict):
+    """Remembers what ``make`` gives for a key."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = value = self.make(key)
+        return value
+
+
 class WordIds:
     """The library's ids of texts as little-endian unsigned 32-bit integers.
 
-    This BPE drops white space and never merges across it, so what stands between white space is
-    looked up once and remembered. Texts with special strings or rare scripts go to the library whole.
+    This BPE drops white space and never merges across it, so what stands between white space is cut
+    into words and given to the library's model once, and remembered here. Texts with special strings
+    or rare scripts go to the library whole.
     """
 
     #: The word pattern in the tokenizer's file, and the same for Latin script; no word holds white space.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
     LATIN = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]++|[0-9]|(?:[^\s\w]|_)++")
 
     def __init__(self, path: str | None):
-        from tokenizers import Tokenizer
-
-        self.words = self.LATIN
-        self.tokenizer = Tokenizer.from_file(path or word_bpe_path())
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
+        self.tokenizer = load_tokenizer(path or word_bpe_path())
+        self.model = self.tokenizer.model
         self.by_word = self.PATTERN in self.tokenizer.to_str(False).replace("\\\\", "\\")
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
-        self.known: dict[str, bytes] = {}
-        self.word_ids: dict[str, bytes] = {}
-
-    def library(self, texts: list[str]) -> list[bytes]:
-        encodings = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encodings]
-
-    def learn(self, chunks: set[str]) -> None:
-        """Remember ``chunks``, each made of words of which every distinct one is encoded once."""
-        split = {chunk: self.words.findall(chunk) for chunk in chunks}
-        new = sorted({word for words in split.values() for word in words}.difference(self.word_ids))
-        self.word_ids.update(zip(new, self.library(new), strict=True))
-        for chunk, words in split.items():
-            self.known[chunk] = b"".join([self.word_ids[word] for word in words])
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        split = [
-            text.lower().split()
-            if self.by_word and LATIN.fullmatch(text) and not (self.special and self.special.search(text))
-            else None
-            for text in texts
-        ]
-        if len(self.known) > WORDS:
-            self.known.clear()
-            self.word_ids.clear()
-        known = self.known
-        found = [chunks and list(map(known.get, chunks)) for chunks in split]
-        gaps = [chunks for chunks, ids in zip(split, found, strict=True) if ids and None in ids]
-        self.learn(set().union(*gaps).difference(known))
-        whole = iter(self.library([text for text, chunks in zip(texts, split, strict=True) if chunks is None]))
-        return [
-            next(whole) if chunks is None else b"".join(map(known.__getitem__, chunks) if ids and None in ids else ids)
-            for chunks, ids in zip(split, found, strict=True)
-        ]
+        self.words, self.chunks = Known(self.word), Known(self.chunk)
+
+    def word(self, word: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(byte_level(word))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.LATIN.findall(chunk)))
+
+    def of(self, text: str) -> bytes:
+        if self.by_word and LATIN.fullmatch(text) and not (self.special and self.special.search(text)):
+            if len(self.chunks) > WORDS:
+                self.chunks.clear()
+                self.words.clear()
+            return b"".join(map(self.chunks.__getitem__, text.lower().split()))
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces_of(tokens: int, capacity: int = CAPACITY, fine: int = FINE) -> Iterator[tuple[int, int]]:
@@ -127,22 +118,15 @@ def pack(
     task runs again.
     """
 
-    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
-        ids_of, end = WordIds(path), END_ID.to_bytes(4, "little")
-        for batch in batches:
-            for at in range(0, batch.num_rows, AT_ONCE):
-                ids, texts = (column.to_pylist() for column in batch.slice(at, AT_ONCE).columns)
-                for id_, data in zip(ids, ids_of.of([text or "" for text in texts]), strict=True):
-                    yield id_, data + end
-
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Rows(PIECES, 5_000)
+        ids_of, end, out = WordIds(path), END_ID.to_bytes(4, "little"), Rows(PIECES, 5_000)
         sequences, open_ = 0, {}
 
         def put(id_, start, total, data, sequence, offset):
             out.add(id_, start, len(data) // 4, zlib.crc32(data), total, row_key(sequence), offset, data if with_ids else None)
 
-        for id_, data in documents(batches):
+        for id_, text_ in rows_of(batches):
+            data = ids_of.of(text_ or "") + end
             total, start = len(data) // 4, 0
             for length, k in pieces_of(total, capacity, fine):
                 bin_ = open_.setdefault(k, [])

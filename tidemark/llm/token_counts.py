@@ -19,12 +19,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LATIN, PLAIN, Rows, kept, row_key, rows_of
+from tidemark.llm.common import LATIN, PLAIN, Rows, byte_level, kept, load_tokenizer, row_key, rows_of
 
 #: Distinct pre-tokens whose counts are broadcast, and the most characters of such a pre-token.
-HEAD, HEAD_CHARS = 200_000, 64
+HEAD, HEAD_CHARS = 100_000, 64
 #: Distinct pre-tokens a task holds before it hands them on.
-FLUSH = 400_000
+FLUSH = 200_000
 
 FREQUENCIES = pa.schema([("piece", pa.string()), ("n", pa.int64())])
 COUNTS = pa.schema([("piece", pa.string()), ("n", pa.int64()), ("tokens", pa.int64())])
@@ -48,11 +48,8 @@ class PreTokens:
 
     def __init__(self, path: str | None):
         import public_tokenizers
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path or byte_bpe_path())
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
+        self.tokenizer = load_tokenizer(path or byte_bpe_path())
         if self.tokenizer.normalizer is not None or "ByteLevel" not in str(self.tokenizer.pre_tokenizer):
             raise ValueError("token counts by pre-token need a byte-level BPE without a normalizer")
         self.pattern = regex.compile(public_tokenizers.PATTERN)
@@ -72,7 +69,7 @@ class PreTokens:
         return len(self.special.findall(text)), [piece for part in self.special.split(text) for piece in cut(part)]
 
     def count(self, pieces: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [len(self.tokenizer.model.tokenize(byte_level(piece))) for piece in pieces]
 
 
 def piece_counts(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
