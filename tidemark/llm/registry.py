@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracle
 from tidemark.llm.common import table
+from tidemark.llm.language import fit_languages, predict_languages
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import personal_data
+from tidemark.llm.quality import fit_quality, score_quality
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.topk import top_k
 from tidemark.llm.urls import judge_urls, listed_urls
@@ -37,12 +39,22 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return predict_languages(docs, fit_languages(docs)).drop("languages", "shares")
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_urls, op3_pii, op4_token_counts, op5_packing, op9_top_k)}
+    return {f.__name__: f for f in (op1_simhash, op2_urls, op3_pii, op4_token_counts, op5_packing, op6_language, op9_top_k, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
