@@ -40,3 +40,27 @@ FROM (
   FROM c
 )
 """
+
+OP7 = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS position
+  FROM conversations WHERE conv_id IS NOT NULL
+), a AS (  -- the last two answers of each conversation
+  SELECT conv_id, position AS last, lead(text) OVER w AS stale, row_number() OVER w AS n
+  FROM t WHERE role = 'assistant' WINDOW w AS (PARTITION BY conv_id ORDER BY position DESC)
+), p AS (
+  SELECT t.*, last, stale FROM t JOIN a USING (conv_id) WHERE n = 1 AND stale IS NOT NULL AND position <= last
+), f AS (  -- both sides differ in the last answer alone, if at all
+  SELECT *, '<|' || role || '|>' || chr(10) AS head, replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body,
+    replace(stale, '<|', '< |') || '<|end|>' || chr(10) AS other
+  FROM p
+)
+SELECT conv_id AS pair_id, CAST(max(last) - 1 AS INTEGER) AS prompt_turns,
+  coalesce(string_agg(head || body, '' ORDER BY position) FILTER (position < last), '') AS prompt,
+  max(head || body) FILTER (position = last) AS chosen,
+  max(head || other) FILTER (position = last) AS rejected,
+  max(length(head) || ':' || (length(head || body) - 1)) FILTER (position = last) AS chosen_mask,
+  max(length(head) || ':' || (length(head || other) - 1)) FILTER (position = last) AS rejected_mask
+FROM f GROUP BY conv_id HAVING max(text <> stale) FILTER (position = last)
+"""

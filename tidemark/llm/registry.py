@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracle
+from tidemark.llm.chat import format_preferences, stale_answer_pairs
 from tidemark.llm.common import table
+from tidemark.llm.decontamination import benchmark_matches
 from tidemark.llm.language import fit_languages, predict_languages
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import personal_data
@@ -44,6 +46,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(docs, fit_languages(docs)).drop("languages", "shares")
 
 
+def op7_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_preferences(stale_answer_pairs(table(spark, sf_dir, "conversations")))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
@@ -54,8 +64,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_urls, op3_pii, op4_token_counts, op5_packing, op6_language, op9_top_k, op10_quality)}
+    return {f.__name__: f for f in (op1_simhash, op2_urls, op3_pii, op4_token_counts, op5_packing, op6_language, op7_preferences, op8_decontamination, op9_top_k, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_urls": oracle.OP2, "op9_top_k": oracle.OP9}
+    return {"op2_urls": oracle.OP2, "op7_preferences": oracle.OP7, "op9_top_k": oracle.OP9}
