@@ -1,10 +1,37 @@
-"""The corpus pipeline: filter by quality, drop near-duplicates and leaks, find personal data, pack."""
+"""The corpus pipeline: drop poor documents, near copies and benchmark leaks, mask personal data, pack."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.common import table
+from tidemark.llm.decontamination import benchmark_matches
+from tidemark.llm.near_dedup import without_duplicates
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import mask_personal_data
+from tidemark.llm.quality import fit_quality, passing
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; it learns from the labels of the documents given."""
+    return passing(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies, the one with the smallest id."""
+    return without_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    leaks = benchmark_matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, docs["doc_id"] == leaks["_leak"], "left_anti")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the personal data in their texts replaced by the names of its kinds."""
+    return mask_personal_data(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,14 +39,21 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
 #: The stages learn and pack, which SQL cannot express; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The packed pieces of what all stages keep of ``documents``."""
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

@@ -1,0 +1,188 @@
+"""Near-duplicate documents: SimHash deletion variants propose, shared word shingles decide.
+
+Equal word sequences are one text, named by its smallest document. Each text gets two lanes of a
+SimHash, cut into segments whose width grows with the logarithm of the number of texts, so that chance groups
+stay small at any size. Texts that share a segment up to one bit are candidates; those whose whole fingerprints
+are far apart drop out, and the Jaccard similarity of the shingle sets decides.
+
+Groups up to ``GROUP`` texts compare all their members. In a larger one a leader is compared with all
+others, then a leader of those that did not match any, and so on; once few are unmatched, they
+are compared with the whole group. So every text that matched no leader has met every
+other, and a group of near copies costs as many comparisons as it has members.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import Rows, kept, rows_of
+from tidemark.llm.components import connected_components
+from tidemark.llm.simhash import BITS, shingles
+
+LANES, PER_LANE, WIDEST = 2, 3, 21
+#: Words of the shingles that make fingerprints, and of those that decide; similarity from which texts are copies.
+SKETCH_WORDS, WORDS, SIMILARITY = 3, 5, 0.8
+#: Bits in which two fingerprints may differ, of all lanes; three deviations above what the similarity gives.
+FAR = 36
+GROUP, ROUNDS = 64, 8
+
+SKETCHES = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("f0", pa.int64()), ("f1", pa.int64())])
+SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+
+def _sketch(text: str | None) -> tuple[bytes, int, int]:
+    """The digest of a text's words, and both lanes of its SimHash."""
+    digest, ones, n = hashlib.md5(usedforsecurity=False), np.zeros(LANES * BITS, np.int64), 0
+    hash_ = partial(xxhash.xxh64_intdigest, seed=42)
+    for part in shingles(text, 1):
+        digest.update(b" ".join([b"", *part]))
+    for part in shingles(text, SKETCH_WORDS):
+        first = np.fromiter(map(hash_, part), np.uint64, len(part))
+        second = (first ^ (first >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        second ^= second >> np.uint64(29)
+        lanes = np.stack([first, second], axis=1).astype("<u8").view(np.uint8)
+        ones += np.unpackbits(lanes, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(part)
+    f0, f1 = np.packbits(2 * ones > n, bitorder="little").view("<i8")
+    return digest.digest(), int(f0), int(f1)
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, f0, f1) of every row."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(SKETCHES)
+        for id_, text in rows_of(batches):
+            out.add(id_, *_sketch(text))
+            if out.full():
+                yield out.take()
+        yield out.take()
+
+    return docs.mapInArrow(of, "doc_id long, digest binary, f0 long, f1 long")
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, shingles): the hashes of the distinct shingles of every row, in order."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, hash_ = Rows(SETS, 500), partial(xxhash.xxh64_intdigest, seed=42)
+        for id_, text in rows_of(batches):
+            parts = [np.fromiter(map(hash_, part), np.uint64, len(part)) for part in shingles(text, words)]
+            found = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+            out.add(id_, found.view(np.int64))
+            if out.full():
+                yield out.take()
+        yield out.take()
+
+    return docs.mapInArrow(of, "doc_id long, shingles array<long>")
+
+
+def variants(texts: DataFrame, width: int) -> DataFrame:
+    """(key, node): a row for each text, segment and bit left out."""
+    keys = []
+    for lane in range(LANES):
+        for part in range(PER_LANE):
+            segment = F.shiftrightunsigned(F.col(f"f{lane}"), part * WIDEST).bitwiseAND(F.lit((1 << width) - 1))
+            for bit in range(width):
+                number = (lane * PER_LANE + part) * WIDEST + bit
+                keys.append(segment.bitwiseAND(F.lit(~(1 << bit))).bitwiseOR(F.lit(number << 32)))
+    return texts.select(F.explode(F.array(*keys)).alias("key"), "node")
+
+
+def _pairs(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+
+
+class Comparer:
+    """Compares candidate pairs, each once, and collects the links found."""
+
+    def __init__(self, docs: DataFrame, texts: DataFrame, words: int, similarity: float):
+        self.docs, self.texts, self.words, self.similarity = docs, texts, words, similarity
+        self.done: DataFrame | None = None
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """The links (u, v) among ``pairs``, which may repeat."""
+        pairs = pairs.where("u <> v").distinct()
+        if self.done is not None:
+            pairs = pairs.join(self.done, ["u", "v"], "left_anti")
+        for side in ("u", "v"):
+            lanes = [F.col(f"f{lane}").alias(f"{side}{lane}") for lane in range(LANES)]
+            pairs = pairs.join(self.texts.select(F.col("node").alias(side), *lanes), side)
+        apart = sum((F.bit_count(F.col(f"u{n}").bitwiseXOR(F.col(f"v{n}"))) for n in range(1, LANES)), F.bit_count(F.col("u0").bitwiseXOR(F.col("v0"))))
+        near = kept(pairs.where(apart <= FAR).select("u", "v"))
+        needed = near.select(F.col("u").alias("doc_id")).unionByName(near.select(F.col("v").alias("doc_id"))).distinct()
+        sets = shingle_sets(self.docs.join(needed, "doc_id", "left_semi"), self.words).dropDuplicates(["doc_id"])
+        sets = kept(sets)
+        both = near.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), "u")
+        both = both.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b")), "v")
+        common = F.size(F.array_intersect("a", "b"))
+        alike = common >= self.similarity * (F.size("a") + F.size("b") - common)
+        judged = kept(both.select("u", "v", alike.alias("alike")))
+        self.done = judged.select("u", "v") if self.done is None else self.done.unionByName(judged.select("u", "v"))
+        return judged.where("alike").select("u", "v")
+
+
+def near_links(docs: DataFrame, texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
+    """(u, v): links between the distinct ``texts`` (node, f0, f1), which connect what the comparisons found alike."""
+    comparer = Comparer(docs, texts, words, similarity)
+    width = min(WIDEST, max(12, (texts.count() or 1).bit_length() + 3))
+    keyed = variants(texts, width)
+    sizes = kept(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared = kept(keyed.join(sizes, "key"))
+    small = shared.where(F.col("n") <= group)
+    other = small.select("key", F.col("node").alias("other"))
+    links = comparer.compare(small.join(other, "key").where("node < other").select(*_pairs("node", "other")))
+    members = shared.where(F.col("n") > group).select("key", "node")
+    open_ = members
+    for _ in range(ROUNDS):
+        heads = kept(open_.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > group))
+        if heads.isEmpty():
+            break
+        met = members.join(heads.select("key", "head"), "key")
+        links = links.unionByName(comparer.compare(met.select(*_pairs("node", "head"))))
+        tied = links.select(F.col("u").alias("node"), F.col("v").alias("head")).unionByName(
+            links.select(F.col("v").alias("node"), F.col("u").alias("head"))
+        )
+        left = open_.join(heads.select("key", "head"), "key", "left").where("head is null or node <> head")
+        open_ = kept(left.join(tied.distinct(), ["node", "head"], "left_anti").select("key", "node"))
+    rest = open_.select("key", F.col("node").alias("other"))
+    return links.unionByName(comparer.compare(members.join(rest, "key").select(*_pairs("node", "other"))))
+
+
+def duplicate_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """(doc_id, group_id) of each row with an id: the smallest id of its group of copies and near copies.
+
+    Words are compared without regard to the case of A-Z and to white space. Null texts count as empty, and all texts
+    without words are copies of each other. Rows without an id belong to no group and give no
+    row. Rows that repeat an id join the groups of all their texts. An empty table gives no rows.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.where("doc_id is not null")
+    found = kept(sketches(rows))
+    texts = kept(
+        found.groupBy("digest").agg(F.min(F.struct("doc_id", "f0", "f1")).alias("t")).select("digest", "t.doc_id", "t.f0", "t.f1")
+    ).withColumnRenamed("doc_id", "node")
+    named = found.select("doc_id", "digest").join(texts.select("digest", "node"), "digest").select("doc_id", "node").distinct()
+    links = near_links(rows, texts.select("node", "f0", "f1"), words, similarity)
+    copies = named.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
+    groups = kept(connected_components(links.unionByName(copies)))
+    ids = found.select("doc_id").distinct()
+    return ids.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.coalesce("component", "doc_id").alias("group_id")
+    )
+
+
+def without_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are the first of their group; rows without an id stay."""
+    dropped = duplicate_groups(docs, doc_id, text).where("doc_id <> group_id").select(F.col("doc_id").alias("_copy"))
+    return docs.join(dropped, docs[doc_id] == dropped["_copy"], "left_anti")

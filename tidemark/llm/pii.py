@@ -39,6 +39,8 @@ SUPPORT, TRUST = 3, 0.6
 #: An identifier's patterns together must make it so likely; it has so many digits at least.
 ACCEPT, DIGITS = 0.6, 4
 ROUNDS = 3
+#: Patterns, each within LEFT_CHARS, that are broadcast at most; more are counted by a shuffle.
+BROADCAST = 100_000
 
 SPAN = "struct<start:int,end:int,value:string,left:string>"
 
@@ -89,9 +91,8 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
-    """One row per input row: doc_id, an array of spans per kind, and ``unseen``, the other tokens with digits."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+def base_spans(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` (text, never null, and the columns ``keep``) with an array of spans per kind and ``unseen``, other tokens with digits."""
     none = F.array().cast("array<string>")
     seen = {kind: F.regexp_extract_all("text", F.lit(form), F.lit(0)) for kind, form in FORMS.items()}
     for kind, sign in SIGNS.items():
@@ -105,7 +106,14 @@ def base_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep
 
     base = [spans(kind, FORMS[kind], partial(_holds, kind)) for kind in KINDS]
     unseen = spans("unseen", UNSEEN, lambda value: F.length(_digits(value)) >= DIGITS)
-    return rows.select("doc_id", *["text"] * keep_text, *base, unseen)
+    return rows.select(*keep, *base, unseen)
+
+
+def _text_rows(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFrame:
+    """(row, doc_id, text): ``row`` names a row by id and text, so that rows which share it have the same spans."""
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    row = F.concat_ws(":", F.col(doc_id).cast("string"), F.hex(F.xxhash64(whole)))
+    return docs.select(row.alias("row"), F.col(doc_id).alias("doc_id"), whole.alias("text"), *more)
 
 
 def _pattern(left: Column) -> Column:
@@ -138,7 +146,10 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame
     pairs = F.arrays_zip(words.alias("a"), F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))).alias("b"))
     found = docs.where(F.col(text).isNotNull()).select(F.explode(pairs).alias("p"))
     found = found.select(F.concat_ws(" ", "p.a", "p.b").alias("pattern"))
-    return found.join(patterns, "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    if patterns.count() <= BROADCAST:
+        found = found.join(F.broadcast(patterns), "pattern", "left_semi")
+        return found.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
+    return found.groupBy("pattern").agg(F.count(F.lit(1)).alias("total")).join(patterns, "pattern", "left_semi")
 
 
 def discover(docs: DataFrame, seen: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame | None:
@@ -177,6 +188,31 @@ def discover(docs: DataFrame, seen: DataFrame, text: str = "text", rounds: int =
     return marked.join(trusted, ["pattern", "kind"], "left_semi").select("row", "kind", "start", "end").distinct()
 
 
+def _listed(spans: Column) -> Column:
+    names = F.array(*map(F.lit, KINDS))
+    parts = F.transform(
+        spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
+    )
+    return F.array_join(parts, ",")
+
+
+def _base(rows: DataFrame) -> Column:
+    """The base spans of all kinds as (kind's number, start, end), in that order."""
+    return F.concat(*[
+        F.transform(kind, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"], s["end"])) for k, kind in enumerate(KINDS)
+    ])
+
+
+def _with_found(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``rows`` with the column ``found``: the spans that the method adds."""
+    none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
+    if found is None:
+        return rows.withColumn("found", none)
+    order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
+    lists = found.groupBy("row").agg(F.collect_list(F.struct(order.alias("kind"), "start", "end")).alias("found"))
+    return rows.join(lists, "row", "left").withColumn("found", F.coalesce("found", none))
+
+
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found.
 
@@ -186,31 +222,40 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     repeat an id each get a row; a null id stays null; an empty table gives no rows. Other columns
     are not read.
     """
-    rows = kept(base_spans(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id()))
-    seen = kept(occurrences(rows))
-    found = discover(docs, seen, text)
-    place = "array<struct<kind:int,start:int,end:int>>"
-    if found is None:
-        rows = rows.withColumn("found", F.array().cast(place))
-    else:
-        order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
-        lists = found.groupBy("row").agg(F.collect_list(F.struct(order.alias("kind"), "start", "end")).alias("found"))
-        rows = rows.join(lists, "row", "left").withColumn("found", F.coalesce("found", F.array().cast(place)))
-    base = F.concat(*[
-        F.transform(kind, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"], s["end"])) for k, kind in enumerate(KINDS)
-    ])
-
-    def listed(spans: Column) -> Column:
-        names = F.array(*map(F.lit, KINDS))
-        return F.array_join(
-            F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))),
-            ",",
-        )
-
+    rows = kept(base_spans(_text_rows(docs, doc_id, text), ("row", "doc_id")))
+    rows = _with_found(rows, discover(docs, kept(occurrences(rows)), text))
+    base = _base(rows)
     return rows.select(
         "doc_id",
         *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS],
-        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
-        listed(F.array_sort(F.concat(base, F.col("found")))).alias("spans"),
+        F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
+        _listed(F.array_sort(F.concat(base, F.col("found")))).alias("spans"),
         F.size("found").cast("long").alias("n_found"),
     )
+
+
+def mask_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all rows and columns, with each span of the text replaced by its kind in brackets.
+
+    Spans that overlap are replaced together by the kind of the first. A null text stays null.
+    """
+    seen = kept(occurrences(base_spans(_text_rows(docs, doc_id, text), ("row",))))
+    found = discover(docs, seen, text)
+    rows = _text_rows(docs, doc_id, text, F.struct("*").alias("whole"))
+    rows = _with_found(base_spans(rows, ("row", "text", "whole")), found)
+    spans = F.array_sort(F.transform(F.concat(_base(rows), F.col("found")), lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    names = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
+    rows = rows.withColumn("spans", spans)
+
+    def step(done: Column, s: Column) -> Column:
+        before = F.substring("text", done["at"] + 1, s["start"] - done["at"])
+        out = F.when(s["start"] >= done["at"], F.concat(done["out"], before, F.get(names, s["kind"]))).otherwise(done["out"])
+        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    masked = F.aggregate("spans", start, step, lambda done: F.concat(done["out"], F.substring("text", done["at"] + 1, F.length("text"))))
+    masked = F.when(F.size("spans") > 0, masked).otherwise(F.col("text"))
+    columns = [
+        F.when(F.col(f"whole.`{c}`").isNotNull(), masked).alias(c) if c == text else F.col(f"whole.`{c}`") for c in docs.columns
+    ]
+    return rows.select(*columns)

@@ -195,3 +195,17 @@ def score_quality(
         F.col(text).cast("string").alias("text"),
     )
     return rows.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def passing(docs: DataFrame, network: ByteNetwork, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``least``; a null text is scored as the empty one."""
+    shared = docs.sparkSession.sparkContext.broadcast(network.values())
+    place = docs.columns.index(text)
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network_ = ByteNetwork(*shared.value)
+        for batch in batches:
+            good = [network_.score(text_) >= least for (text_,) in rows_of([batch.select([place])])]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(passed, docs.schema)
