@@ -9,10 +9,10 @@ from tidemark.operators.matching import contains_join, longest_match
 from tidemark.sources import INPUTS, TARGETS
 
 
-@pytest.fixture(params=["broadcast", "salted"])
+@pytest.fixture(params=["broadcast", "shuffled"])
 def join_size(request, spark):
     """Run a test with lookups below and above the broadcast limit."""
-    if request.param == "salted":
+    if request.param == "shuffled":
         spark.conf.set(BROADCAST_BYTES_CONF, "0")
     yield request.param
     spark.conf.unset(BROADCAST_BYTES_CONF)
@@ -49,6 +49,28 @@ def test_odd_names_and_texts(match, join_size):
     assert rows(match(names, texts)) == brute_force(names, texts)
 
 
+def test_null_and_repeated_ids(frame, join_size):
+    texts = frame(
+        "id int, text string", (1, "from a.t x a.t"), (None, "from a.t"), (2, "select a.t"), (2, "select 1"), (2, "a.t"), (2, "a.t"),
+        (3, "b.t"), (None, None),
+    )
+    found = contains_join(frame("name string", ("a.t",)), texts)
+    assert rows(found) == [(None, "a.t", 6, 3), (1, "a.t", 6, 3), (2, "a.t", 1, 3), (2, "a.t", 8, 3)]
+
+
+def test_a_very_long_text_with_very_many_hits(match, join_size):
+    names = ["s.t", "s.u", "other.t"]
+    text = "join s.t, äö s.tt " * 25_000 + "s.u"
+    assert rows(match(names, [text])) == [(0, "s.t", 6, 3), (0, "s.u", len(text) - 2, 3)]
+
+
+def test_texts_stay_where_they_are(frame, join_size):
+    texts = frame("id int, text string", (1, "from a.t x a.t"))
+    plan = contains_join(frame("name string", ("a.t",)), texts)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line or "Sort [" in line]
+    assert moved and not any("_text#" in line for line in moved)
+
+
 def test_no_names_no_matches(match):
     assert match([None], ["a.b"]).count() == 0
 
@@ -82,7 +104,7 @@ def test_the_matching_plan_has_no_pairwise_join(match):
 def test_lookup_join_equals_a_plain_join(frame, join_size, how):
     facts = frame("k int, v int", *((n % 5 if n % 3 else 0, n) for n in range(90)), (None, 90))
     lookup = frame("k int, w string", (0, "zero"), (1, "one"), (1, "uno"), (9, "nine"), (None, "none"))
-    assert rows(lookup_join(facts, lookup, ["k"], how, salt_by=["v"])) == rows(facts.join(lookup, ["k"], how))
+    assert rows(lookup_join(facts, lookup, ["k"], how)) == rows(facts.join(lookup, ["k"], how))
 
 
 def test_not_in_follows_sql(spark, frame, join_size):

@@ -81,7 +81,7 @@ def view_text_match(view_defs: DataFrame, tables: DataFrame) -> DataFrame:
     )
     matches = contains_join(external, texts, "src_schema_table", "text", view)
     matches = matches.withColumnsRenamed({"name": "src_schema_table", "name_length": "schema_table_length"})
-    return lookup_join(matches, external, ["src_schema_table"], salt_by=view).select(
+    return lookup_join(matches, external, ["src_schema_table"]).select(
         *external.columns,
         F.lit(UNKNOWN_OID).alias("dependent_oid"),
         *view,
@@ -148,7 +148,7 @@ def query_text_match(queries: DataFrame, tables: DataFrame, object_deps: DataFra
     targets = _named_targets(tables, object_deps)
     matches = contains_join(targets, queries, "name", "querytxt", ["query_id"])
     return (
-        lookup_join(matches, targets, ["name"], salt_by=["query_id"])
+        lookup_join(matches, targets, ["name"])
         .select("schema_table", "query_id", "match_location", F.col("name_length").alias("schema_table_length"))
         .distinct()
     )
@@ -161,7 +161,7 @@ def query_dependencies(matches: DataFrame, tables: DataFrame, queries: DataFrame
     """
     current = tables.where("most_recent").select("table_name", "schema_name", "schema_table", "objectsrc")
     pairs = matches.select("query_id", "schema_table").distinct()
-    narrow = lookup_join(pairs, current, ["schema_table"], salt_by=["query_id"])
+    narrow = lookup_join(pairs, current, ["schema_table"])
     return narrow.join(queries.select(*QUERY_COLUMNS), "query_id").select(*current.columns, *QUERY_COLUMNS)
 
 
@@ -173,5 +173,5 @@ def attribute_queries(queries: DataFrame, tables: DataFrame, object_deps: DataFr
     """
     targets = _named_targets(tables, object_deps)
     names = longest_match(contains_join(targets, queries, "name", "querytxt", ["query_id"]), ["query_id"])
-    used = lookup_join(names.select("query_id", "name"), targets, ["name"], salt_by=["query_id"])
+    used = lookup_join(names.select("query_id", "name"), targets, ["name"])
     return query_dependencies(used, tables, queries)

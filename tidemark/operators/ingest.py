@@ -41,7 +41,7 @@ def ingest_incremental(
         entries, ["starttime", "endtime", "userid", "querytxt", "aborted"], mark["max_query_id"]
     )
     people = users.select(F.col("usesysid").alias("userid"), "usename")
-    named = lookup_join(numbered, people, ["userid"], "left", salt_by=["query_id"])
+    named = lookup_join(numbered, people, ["userid"], "left")
     return named.select(
         "query_id",
         "userid",

@@ -12,7 +12,6 @@ from tidemark.session import durable
 
 BROADCAST_BYTES_CONF = "spark.tidemark.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def row_bytes(df: DataFrame):
@@ -36,7 +35,6 @@ def lookup_join(
     lookup: DataFrame,
     on: list[str],
     how: str = "inner",
-    salt_by: list[str] | None = None,
     small: bool | None = None,
     null_safe: bool = False,
     computed: bool = False,
@@ -44,29 +42,21 @@ def lookup_join(
     """Join ``facts`` to a much smaller ``lookup`` (inner, left, left_semi or left_anti).
 
     A lookup measured below the broadcast limit is broadcast, so facts do not move. Above it both
-    sides shuffle on the key plus a salt: ``salt_by`` names the columns that differ within a hot
-    key, and the lookup is repeated once per salt. The salt depends on row values only, so a
-    recomputed task sends each row to the same place. A ``computed`` lookup, one that takes a large
+    sides shuffle on the key; the facts of a hot key are split by adaptive execution, which reads
+    the lookup's one partition for each part. A ``computed`` lookup, one that takes a large
     scan to make, is written out first, so that measuring it does not make it twice.
     """
     if computed:
         lookup = durable(lookup)
     if small is None:
         small = fits_broadcast(lookup)
-    keys = list(on)
-    if small:
-        right = lookup
-    else:
-        salt = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(SALTS)).cast("int")
-        facts = facts.withColumn("_salt", salt)
-        right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        keys.append("_salt")
+    keys, right = list(on), lookup
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     equal = [
         F.col(k).eqNullSafe(F.col(f"_r_{k}")) if null_safe else F.col(k) == F.col(f"_r_{k}") for k in keys
     ]
     joined = facts.join(F.broadcast(right) if small else right, reduce(lambda a, b: a & b, equal), how)
-    return joined.drop("_salt", *[f"_r_{k}" for k in keys])
+    return joined.drop(*[f"_r_{k}" for k in keys])
 
 
 def not_in(facts: DataFrame, other: DataFrame, column: str, other_column: str | None = None) -> DataFrame:

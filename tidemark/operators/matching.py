@@ -12,12 +12,55 @@ large share of all names costs no more than a rare one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import broadcast_limit, lookup_join, row_bytes
 
 DOT = r"\."
+#: Dots of a text whose places are summed up together; keeps a text with very many dots linear.
+BLOCK = 256
+
+
+def _dots(texts: DataFrame, keep: list[str], rest_dots: int) -> DataFrame:
+    """A row per dot of a text: the columns ``keep``, the dot's 1-based place, and what stands on both sides.
+
+    ``before`` reaches back to the previous dot, ``after`` over as many further dots as a name may hold. Places
+    are sums of piece lengths, first over blocks of pieces, then within each block.
+    """
+    cut = texts.select(*keep, F.split("_text", DOT).alias("_pieces")).where(F.size("_pieces") > 1)
+    dots = F.size("_pieces") - 1
+
+    def block_length(first: Column) -> Column:
+        pieces = F.slice("_pieces", first + 1, F.lit(BLOCK))
+        return F.aggregate(pieces, F.lit(0), lambda total, piece: total + F.length(piece) + 1)
+
+    def next_block(done: Column, first: Column) -> Column:
+        block = F.struct(first.alias("first"), done["at"].alias("at"))
+        return F.struct((done["at"] + block_length(first)).alias("at"), F.array_append(done["out"], block).alias("out"))
+
+    none = F.array().cast("array<struct<first:int,at:int>>")
+    starts = F.aggregate(
+        F.sequence(F.lit(0), dots - 1, F.lit(BLOCK)), F.struct(F.lit(0).alias("at"), none.alias("out")), next_block,
+        lambda done: done["out"],
+    )
+    blocks = cut.select(*keep, "_pieces", F.explode(starts).alias("_block"))
+    pieces = F.slice("_pieces", F.col("_block.first") + 1, F.lit(BLOCK + rest_dots + 1))
+    blocks = blocks.select(
+        *keep, pieces.alias("_part"), F.col("_block.at").alias("_at"), F.least(F.lit(BLOCK), dots - F.col("_block.first")).alias("_n")
+    )
+
+    def next_place(places: Column, piece: Column) -> Column:
+        last = F.coalesce(F.try_element_at(places, F.lit(-1)), F.col("_at"))
+        return F.array_append(places, last + F.length(piece) + 1)
+
+    places = F.aggregate(F.slice("_part", F.lit(1), F.col("_n")), F.array().cast("array<int>"), next_place)
+    each = blocks.select(*keep, "_part", F.posexplode(places).alias("_dot", "place"))
+    if rest_dots == 0:
+        after = F.element_at("_part", F.col("_dot") + 2)
+    else:  # names with further dots reach over as many pieces
+        after = F.array_join(F.slice("_part", F.col("_dot") + 2, F.lit(rest_dots + 1)), ".")
+    return each.select(*keep, "place", F.element_at("_part", F.col("_dot") + 1).alias("before"), after.alias("after"))
 
 
 def contains_join(
@@ -26,8 +69,8 @@ def contains_join(
     """Every pair of a name and a text that contains it, with the 1-based place of the first occurrence.
 
     Output: the id columns, ``name``, ``match_location``, ``name_length``; partitioned by the id
-    columns. Matching is by substring and case-sensitive. Every name must hold a dot. ``id_cols``
-    must identify a text.
+    columns. Matching is by substring and case-sensitive. Every name must hold a dot. Ids may be NULL
+    or repeat: each different text of an id is matched on its own, equal texts of an id count once.
     """
     ids = id_cols or ["id"]
     dictionary = names.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
@@ -43,45 +86,26 @@ def contains_join(
     ).first()
     if about["dotless"]:
         raise ValueError(f"{about['dotless']} names hold no dot")
-    small = about["bytes"] <= broadcast_limit(names)
+    # Shapes are no more than names, and mostly far fewer: beyond the limit they are measured on their own.
+    small = about["bytes"] <= broadcast_limit(names) or None
 
-    text = texts.select(*ids, F.col(text_col).alias("_text"))
-    pieces = text.withColumn("_pieces", F.split("_text", DOT))
-    dots = pieces.select("*", F.posexplode(F.slice("_pieces", F.lit(1), F.size("_pieces") - 1)).alias("_dot", "before"))
-    if about["rest_dots"] == 0:
-        after = F.element_at("_pieces", F.col("_dot") + 2)
-    else:  # names with further dots reach over as many pieces
-        after = F.array_join(F.slice("_pieces", F.col("_dot") + 2, F.lit(about["rest_dots"] + 1)), ".")
-    sides = dots.select(*ids, "_text", "_dot", "before", after.alias("after"))
-    if not small:
-        # The candidates shuffle, so the text stays behind and is joined again at the end.
-        sides = sides.drop("_text")
+    text = texts.select(*ids, F.xxhash64(text_col).alias("_text_key"), F.col(text_col).alias("_text"))
+    row = [*ids, "_text_key"]
+    sides = _dots(text, row, about["rest_dots"])
     lengths = F.array(*[F.lit(n) for n in sorted(about["head_lengths"])]).cast("array<int>")
     endings = (
         sides.withColumn("_length", F.explode(lengths))
         .where(F.col("_length") <= F.length("before"))
-        .withColumn("head", F.right("before", F.col("_length")))
-        .drop("before")
+        .select(*row, (F.col("place") - F.col("_length")).alias("match_location"), F.right("before", F.col("_length")).alias("head"), "after")
     )
     shapes = dictionary.select("head", rest.alias("_rest")).distinct()
-    known = lookup_join(endings, shapes, ["head"], "inner", salt_by=ids, small=small)
-    candidates = known.where(F.col("_rest") <= F.length("after")).withColumn(
-        "name", F.concat("head", F.lit("."), F.substring("after", F.lit(1), F.col("_rest")))
-    )
-    hits = lookup_join(
-        candidates.drop("head", "after", "_rest"), dictionary.select("name"), ["name"], "left_semi", salt_by=ids, small=small
+    known = lookup_join(endings, shapes, ["head"], small=small)
+    candidates = known.where(F.col("_rest") <= F.length("after")).select(
+        *row, "match_location", F.concat("head", F.lit("."), F.substring("after", F.lit(1), F.col("_rest"))).alias("name")
     )
-    location = F.instr("_text", F.col("name"))
-    if small:
-        # Of the hits of a name only the one at its first occurrence stays.
-        place = F.length(F.call_function("substring_index", "_text", F.lit("."), F.col("_dot") + 1)) - F.col("_length") + 1
-        found = (
-            hits.where(location == place).select(*ids, "name", place.alias("match_location")).repartition(*ids)
-        )
-    else:
-        distinct = hits.select(*ids, "name").repartition(*ids).dropDuplicates()
-        found = distinct.join(text, ids).select(*ids, "name", location.alias("match_location"))
-    return found.withColumn("name_length", F.length("name"))
+    hits = lookup_join(candidates, dictionary.select("name"), ["name"], "left_semi", small=bool(small))
+    first = hits.repartition(*ids).groupBy(*row, "name").agg(F.min("match_location").alias("match_location"))
+    return first.select(*ids, "name", "match_location", F.length("name").alias("name_length"))
 
 
 def longest_match(matches: DataFrame, id_cols: list[str], length_col: str = "name_length") -> DataFrame:

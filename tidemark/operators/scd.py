@@ -55,7 +55,7 @@ def scd2_apply(
     dated = versions.withColumn("_next", following)
     gone = not_in(current.select(close_by).distinct(), incoming, close_by).withColumn("_gone", F.lit(True))
     dated = lookup_join(
-        dated, gone, [close_by], "left", salt_by=["schema_table", "start_date"], null_safe=True
+        dated, gone, [close_by], "left", null_safe=True
     )
     already = (F.col("end_date") < day(OPEN_END)) if sticky_close else F.lit(False)
     end = (

@@ -54,7 +54,7 @@ def calendar_spine(
         "schema_table", "schema_name", _days(F.greatest("fd", first), F.least("ld", last)).alias("date")
     )
     return lookup_join(
-        alive, calendar.select("date").where(F.col("date").between(first, last)), ["date"], salt_by=["schema_table"]
+        alive, calendar.select("date").where(F.col("date").between(first, last)), ["date"]
     )
 
 
