@@ -34,7 +34,8 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.registered()) <= set(entry.queries())
 
 
 def test_intermediate_results_go_to_the_folder_the_session_names(spark):
