@@ -1,11 +1,13 @@
 import datetime as dt
+import tempfile
+from types import SimpleNamespace
 
 import pytest
 
 from tests.compare import connect, difference
 from tests.conftest import rows
 from tidemark.plans import new_state, read_state, run_all, store_run
-from tidemark.session import checkpoint_root, durable
+from tidemark.session import checkpoint_root, durable, intermediates
 from tidemark.sources import TARGETS, read_inputs, read_target
 from workload import oracle, registry
 from workload.inputs import Inputs
@@ -38,14 +40,40 @@ def test_entry(spark):
     assert set(registry.registered()) <= set(entry.queries())
 
 
-def test_intermediate_results_go_to_the_folder_the_session_names(spark):
-    root = checkpoint_root(spark)
+@pytest.fixture
+def named_folder(spark, tmp_path):
+    before = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    yield tmp_path
+    if before:
+        spark.sparkContext._jsc.setCheckpointDir(before.rsplit("/", 1)[0])
+
+
+def test_intermediate_results_go_to_the_folder_the_session_names(spark, named_folder):
     kept = durable(spark.range(5).toDF("n"))
-    assert all(root.split(":")[-1] in f for f in kept.inputFiles())
+    assert all(str(named_folder) in f for f in kept.inputFiles())
     assert rows(kept) == [(n,) for n in range(5)]
 
 
-def test_stored_runs_continue_each_other_and_a_rerun_changes_nothing(spark, tmp_path):
+def test_nothing_is_left_of_what_a_block_owns(spark, named_folder):
+    with intermediates(spark):
+        assert rows(durable(spark.range(3).toDF("n"))) == [(0,), (1,), (2,)]
+        assert list(named_folder.rglob("*.parquet"))
+    assert not list(named_folder.rglob("*.parquet"))
+
+
+def test_a_cluster_needs_a_shared_folder(tmp_path):
+    def session(folder):
+        context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: folder)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+
+    for folder in (None, f"{tempfile.gettempdir()}/x", f"file://{tempfile.gettempdir()}/x"):
+        with pytest.raises(RuntimeError, match="every executor"):
+            checkpoint_root(session(folder))
+    assert checkpoint_root(session("hdfs://nn/shared/")) == "hdfs://nn/shared"
+
+
+def test_stored_runs_continue_each_other_and_a_rerun_changes_nothing(spark, tmp_path, named_folder):
     i = Inputs.over(spark, SF)
     source, root = str(tmp_path / "inputs"), str(tmp_path / "results")
     for name, df in registry.as_of(i, registry.FIRST_RUN, False).items():
@@ -54,7 +82,8 @@ def test_stored_runs_continue_each_other_and_a_rerun_changes_nothing(spark, tmp_
 
     def run(run_ts, stored):
         state = read_state(spark, root, stored)
-        store_run(run_all(inputs, state, run_ts), root, run_ts, state)
+        with intermediates(spark):
+            store_run(run_all(inputs, state, run_ts), root, run_ts, state)
         return {name: rows(read_target(spark, root, name), *columns(name)) for name in TARGETS}
 
     def columns(name):
@@ -64,6 +93,7 @@ def test_stored_runs_continue_each_other_and_a_rerun_changes_nothing(spark, tmp_
     again = run(registry.FIRST_RUN + dt.timedelta(hours=1), True)
     assert first == again
     assert all(first[name] for name in TARGETS)
+    assert not list((named_folder / "tidemark").rglob("*.parquet"))
     later = run(registry.FIRST_RUN + dt.timedelta(days=1), True)
     assert later["sql_queries"] == first["sql_queries"] and later["tables"] == first["tables"]
     assert len(later["internal_table_space"]) == 2 * len(first["internal_table_space"])

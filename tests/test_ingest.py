@@ -112,10 +112,26 @@ def test_copies_spread_over_partitions(log, monkeypatch):
     copies = [entry(1, "hot", "2024-01-01 10:00:00")] * 2000
     others = [entry(2, f"q{n}", f"2024-01-01 10:{n // 60:02d}:{n % 60:02d}") for n in range(1000)]
     assert global_row_number(log(*copies, *others).repartition(8), ORDER).count() == 3000
-    sizes = [r[1] for r in written[0].groupBy("_part").count().collect()]
+    sizes = [r[1] for r in written[1].groupBy("_part").count().collect()]
     assert len(sizes) == 4 and max(sizes) < 1500
 
 
+def test_partitions_grow_with_the_input(log, monkeypatch):
+    few, many = (log(*[entry(1, "x" * 1000, "2024-01-01 10:00:00")] * n) for n in (5, 100))
+    assert numbering.range_partitions(few, 10_000) == 4
+    assert numbering.range_partitions(many, 10_000) > 10
+    monkeypatch.setattr(numbering, "PARTITION_BYTES", 10)
+    assert rows(global_row_number(few, ORDER), "query_id") == [(n,) for n in range(1, 6)]
+
+
+def test_the_log_is_evaluated_once(spark, log):
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda text: seen.add(1) or text, "string")
+    df = log(*[entry(n, f"q{n}", "2024-01-01 10:00:00") for n in range(20)])
+    assert global_row_number(df.withColumn("querytxt", count("querytxt")), ORDER).count() == 20
+    assert seen.value == 20
+
+
 def test_numbering_an_empty_log(log):
     assert global_row_number(log(), ORDER).count() == 0
 

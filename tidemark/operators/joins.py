@@ -37,17 +37,13 @@ def lookup_join(
     how: str = "inner",
     small: bool | None = None,
     null_safe: bool = False,
-    computed: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to a much smaller ``lookup`` (inner, left, left_semi or left_anti).
 
     A lookup measured below the broadcast limit is broadcast, so facts do not move. Above it both
     sides shuffle on the key; the facts of a hot key are split by adaptive execution, which reads
-    the lookup's one partition for each part. A ``computed`` lookup, one that takes a large
-    scan to make, is written out first, so that measuring it does not make it twice.
+    the lookup's one partition for each part.
     """
-    if computed:
-        lookup = durable(lookup)
     if small is None:
         small = fits_broadcast(lookup)
     keys, right = list(on), lookup

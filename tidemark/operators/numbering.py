@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import row_bytes
 from tidemark.session import durable
 
 
+#: Bytes of rows in memory that one sorting task gets.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def range_partitions(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -> int:
+    """The number of partitions to sort ``df`` in: as many as its size needs, the session's number at least."""
+    size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // partition_bytes))
+
+
 def global_row_number(df: DataFrame, order_cols: list[str], start: int = 0, out: str = "query_id") -> DataFrame:
     """Number the rows ``start + 1, start + 2, ...`` in the order of ``order_cols``.
 
@@ -18,13 +29,14 @@ def global_row_number(df: DataFrame, order_cols: list[str], start: int = 0, out:
     The input partition id is the last sort key: it splits a large group of copies over many
     tasks, and unlike a random salt it stays the same when a task is repeated. The ordered rows
     are written out once, because the range bounds come from a sample and must not move between
-    counting and numbering.
+    counting and numbering. The input is written out before, so that sampling and sorting
+    do not compute it twice and its size can set the number of partitions.
     """
-    spread = df.withColumn("_origin", F.spark_partition_id())
+    spread = durable(df.withColumn("_origin", F.spark_partition_id()))
     keys = [*order_cols, "_origin"]
     # A given number keeps adaptive execution from merging partitions: copies compress so well that
     # many of them look small.
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = range_partitions(spread)
     ordered = spread.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     # monotonically_increasing_id is (partition << 33) + row index.
     placed = durable(

@@ -54,9 +54,7 @@ def scd2_apply(
     following = F.lead("start_date").over(Window.partitionBy("schema_table").orderBy("start_date"))
     dated = versions.withColumn("_next", following)
     gone = not_in(current.select(close_by).distinct(), incoming, close_by).withColumn("_gone", F.lit(True))
-    dated = lookup_join(
-        dated, gone, [close_by], "left", null_safe=True
-    )
+    dated = lookup_join(dated, gone, [close_by], "left", null_safe=True)
     already = (F.col("end_date") < day(OPEN_END)) if sticky_close else F.lit(False)
     end = (
         F.when(F.col("_next").isNotNull(), F.date_sub("_next", 1))

@@ -66,9 +66,16 @@ def space_stage(
     )
 
 
-def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose key is not in ``target`` yet. Rows that share a key with each other all stay."""
-    return lookup_join(rows, target.select(*keys).distinct(), keys, "left_anti", computed=True)
+def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str], day_col: str = "snapshot_date") -> DataFrame:
+    """The rows whose key is not in ``target`` yet. Rows that share a key with each other all stay.
+
+    Only the days of the batch are read from ``target``, which is partitioned by ``day_col``, one of the keys.
+    """
+    days = rows.agg(F.min(day_col).alias("first"), F.max(day_col).alias("last")).first()
+    if days["first"] is None:
+        return rows
+    stored = target.where(F.col(day_col).between(day(days["first"]), day(days["last"])))
+    return rows.join(stored.select(*keys), keys, "left_anti")
 
 
 def table_space(internal_space: DataFrame, external_space: DataFrame) -> DataFrame:
@@ -83,8 +90,9 @@ def table_space(internal_space: DataFrame, external_space: DataFrame) -> DataFra
             .agg(F.max("snapshot_date").alias("snapshot_date"))
             .withColumn("_newest", F.lit(1))
         )
+        # one row per table, so a broadcast or a plain shuffle; measuring it would scan all snapshots once more
         rows = space if "tbl_rows" in space.columns else space.withColumn("tbl_rows", F.lit(None).cast("decimal(38,0)"))
-        return lookup_join(rows, newest, [key, "snapshot_date"], "left", computed=True).select(
+        return rows.join(newest, [key, "snapshot_date"], "left").select(
             "snapshot_date",
             "table_id",
             "schema_table",

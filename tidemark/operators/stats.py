@@ -185,9 +185,7 @@ def size_excludes_latest(excludes: DataFrame, external_space: DataFrame) -> Data
     """The newest reasons why an external table has no size; tables that have one drop out."""
     open_ = not_in(excludes, external_space, "schema_table")
     newest = open_.groupBy("schema_table").agg(F.max("created_at").alias("created_at"))
-    return lookup_join(open_, newest, ["schema_table", "created_at"], computed=True).select(
-        "schema_table", "exclude_reason"
-    )
+    return open_.join(newest, ["schema_table", "created_at"]).select("schema_table", "exclude_reason")
 
 
 def table_stats_byday(

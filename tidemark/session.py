@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,25 +30,55 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the session names; a private one only for local runs that name none."""
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder for intermediate results; a private one only for local runs that name none.
+
+    ``setCheckpointDir`` comes before spark.checkpoint.dir. On a cluster, this machine's own folder for
+    temporary files is refused.
+    """
+    local = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_DIR, None)
     if root:
+        place = urlsplit(root)
+        if not local and place.scheme in ("", "file") and f"{place.path}/".startswith(f"{tempfile.gettempdir()}/"):
+            raise RuntimeError(f"{root} is this machine's own: set {CHECKPOINT_DIR} to a folder that every executor can reach")
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+#: Folders that own the intermediate results, the innermost last.
+_owners: list[str] = []
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """Own all that :func:`durable` writes within the block, and remove it at its end.
+
+    What is returned from the block must have been stored before, for nothing durable outlives it.
+    """
+    folder = f"{checkpoint_root(spark)}/tidemark/{uuid.uuid4().hex}"
+    _owners.append(folder)
+    try:
+        yield folder
+    finally:
+        _owners.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Used where a result is read more than once and must not change in between, also when
     executors are lost. Parquet instead of ``checkpoint()`` so that later readers can prune
-    columns.
+    columns. Within :func:`intermediates` the files go when the block ends; otherwise they stay as
+    long as the caller wants to read the result.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/tidemark/{uuid.uuid4().hex}"
+    owner = _owners[-1] if _owners else f"{checkpoint_root(spark)}/tidemark"
+    path = f"{owner}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,9 +24,11 @@ FROM {customer} WHERE c_mktsegment <> 'FURNITURE' GROUP BY c_custkey
 RECIPES["part_names"] = """
 SELECT p_partkey, MIN(p_type || '.' || p_brand) AS schema_table FROM {part} GROUP BY p_partkey
 """
+# External tables by number: one per nation, and one per region that no event names.
 RECIPES["nation_names"] = """
 SELECT n_nationkey, MIN(r_name || '.' || n_name) AS schema_table
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey GROUP BY n_nationkey
+UNION ALL SELECT 25 + r_regionkey, r_name || '.UNSIZED' FROM {region}
 """
 # Each event is a query on one internal and one external table; every fifth one also names a view.
 # Three of the views named do not exist.
@@ -92,6 +94,9 @@ SELECT n_name || ' ' AS tablename, r_name AS schemaname, 'EXTERNAL' AS tabletype
   'rows=' || CAST(COUNT(c_custkey) AS STRING) AS parameters
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey LEFT JOIN {customer} ON c_nationkey = n_nationkey
 GROUP BY n_name, r_name, n_nationkey
+UNION ALL
+SELECT 'UNSIZED', r_name, 'EXTERNAL', 'lake/unsized', 'text', 'text', 'lazy', 'sep=' || CAST(25 + r_regionkey AS STRING), 0, 'rows=0'
+FROM {region}
 """
 RECIPES["views"] = """
 SELECT s.s_suppkey, 'rpt' AS schemaname, 'v_' || CAST(s.s_suppkey AS STRING) AS viewname,
@@ -212,11 +217,10 @@ FROM {log_events} e JOIN {part_names} p ON p.p_partkey = e.part_key
 JOIN {catalog} t ON t.schema_table = p.schema_table
 GROUP BY CAST(e.ts AS DATE), t.table_id, t.schema_table
 """
-# Sizes of external tables arrive with view events; no size ever arrives for the last region's tables.
+# Sizes of external tables arrive with every event on them.
 RECIPES["external_sizes"] = """
 SELECT x.schema_table, CAST(FLOOR(e.value * 100) AS INT) AS tablesize_kb, e.ts AS created_at
 FROM {log_events} e JOIN {nation_names} x ON x.n_nationkey = e.nation_key
-WHERE e.event_type = 'view' AND x.schema_table NOT LIKE 'MIDDLE EAST.%'
 """
 RECIPES["external_space"] = """
 SELECT CAST({NEW_YORK} AS DATE) AS snapshot_date, -1 AS table_id, schema_table, tablesize_kb,
@@ -225,7 +229,7 @@ FROM {external_sizes} s
 """
 RECIPES["size_excludes"] = """
 SELECT x.schema_table, o_orderpriority AS exclude_reason, o_orderdate AS created_at
-FROM {orders} JOIN {nation_names} x ON x.n_nationkey = o_custkey % 25
+FROM {orders} JOIN {nation_names} x ON x.n_nationkey = o_custkey % 30
 """
 RECIPES["calendar"] = "SELECT DISTINCT CAST(ts AS DATE) AS date FROM {events}"
 

@@ -16,7 +16,7 @@ from tidemark.session import durable
 from tidemark.sources import TABLE_ATTRIBUTES, empty_target
 from workload.inputs import Inputs
 
-RUN_TS = dt.datetime(2024, 1, 30, 18)
+RUN_TS = dt.datetime(2024, 1, 30, 23, 59, 59, 999999)  # after the last event
 DAYS = [dt.date(2024, 1, 1), dt.date(2024, 1, 16), dt.date(2024, 1, 30)]
 FIRST_RUN = dt.datetime(2024, 1, 15, 12)
 FIRST_BATCH = dt.datetime(2024, 1, 16)
