@@ -109,7 +109,11 @@ def asof_scd_join(
     also: tuple[str, ...] = (),
 ) -> DataFrame:
     """The version of each table that was valid on each day of the spine, with the columns ``also``."""
-    attributes = tables.select(
+    return spine.join(_by_day(_attributes(tables, also), span or _span(spine)), KEY)
+
+
+def _attributes(tables: DataFrame, also: tuple[str, ...]) -> DataFrame:
+    return tables.select(
         *also,
         "start_date",
         "end_date",
@@ -124,7 +128,26 @@ def asof_scd_join(
         "output_format",
         "parameters",
     )
-    return spine.join(_by_day(attributes, span or _span(spine)), KEY)
+
+
+def versions_by_day(
+    tables: DataFrame,
+    calendar: DataFrame,
+    run_ts: dt.datetime,
+    min_date: dt.date = COLLECTION_START,
+    also: tuple[str, ...] = (),
+) -> DataFrame:
+    """The spine with the version of each day: ``asof_scd_join(calendar_spine(...), tables)`` in one unfolding.
+
+    Life spans and versions meet per table, before either unfolds, so no day-level rows are joined to each other.
+    """
+    first, last = min_date + dt.timedelta(days=1), last_full_day(run_ts)
+    life = object_lifespan(tables, run_ts).where(F.col("fd").isNotNull() & F.col("ld").isNotNull())
+    alive = life.select("schema_table", "fd", "ld").join(_attributes(tables, also), "schema_table")
+    alive = alive.where(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
+    within = alive.withColumn("start_date", F.greatest("start_date", "fd")).withColumn("end_date", F.least("end_date", "ld"))
+    days = calendar.select("date").where(F.col("date").between(day(first), day(last)))
+    return lookup_join(_by_day(within.drop("fd", "ld"), (first, last)), days, ["date"])
 
 
 def forward_fill_sizes(
@@ -203,13 +226,12 @@ def table_stats_byday(
     The queries are summed up per table and day before they meet the spine. Spine rows that fall
     into one group (a table with two equal exclusion reasons, say) are counted first, because
     the sum of aborted queries counts a query once for each of them. All joins by day and the
-    grouping share the key (table, day), so the spine is partitioned once; the reasons join the
-    table versions before those unfold into days.
+    grouping share the key (table, day), so the versions are partitioned by it once; reasons and life spans join
+    the table versions before those unfold into days.
     """
     span = (min_date + dt.timedelta(days=1), last_full_day(run_ts))
-    spine = calendar_spine(object_lifespan(tables, run_ts), calendar, run_ts, min_date).select(*KEY)
     reasons = size_excludes_latest(excludes, external_space)
-    described = asof_scd_join(spine, tables.join(reasons, "schema_table", "left"), span, ("exclude_reason",))
+    described = versions_by_day(tables.join(reasons, "schema_table", "left"), calendar, run_ts, min_date, ("exclude_reason",))
     sized = forward_fill_sizes(
         described,
         size_intervals(internal_space, ["tablesize_kb", "tbl_rows"]),
