@@ -8,7 +8,9 @@ from tests.compare import connect, difference
 from tests.conftest import rows
 from tidemark.plans import new_state, read_state, run_all, store_run
 from tidemark.session import checkpoint_root, durable, intermediates
+from tidemark.sinks import store_state
 from tidemark.sources import TARGETS, read_inputs, read_target
+from tidemark.sources.readers import state_folders
 from workload import oracle, registry
 from workload.inputs import Inputs
 
@@ -73,6 +75,15 @@ def test_a_cluster_needs_a_shared_folder(tmp_path):
     assert checkpoint_root(session("hdfs://nn/shared/")) == "hdfs://nn/shared"
 
 
+def test_older_states_go_when_so_many_are_retained(spark, tmp_path):
+    path = f"{tmp_path}/tables"
+    for n in range(1, 5):
+        state = spark.createDataFrame([(n,)], "table_id int")
+        store_state(state, path, dt.datetime(2024, 1, n), retain=2 if n == 4 else None)
+    assert state_folders(spark, path) == ["run_stamp=20240103T000000000000", "run_stamp=20240104T000000000000"]
+    assert rows(read_target(spark, str(tmp_path), "tables"), "table_id") == [(4,)]
+
+
 def test_stored_runs_continue_each_other_and_a_rerun_changes_nothing(spark, tmp_path, named_folder):
     i = Inputs.over(spark, SF)
     source, root = str(tmp_path / "inputs"), str(tmp_path / "results")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,36 +42,35 @@ def run_all(
     results that several later steps read; by default it writes them to the checkpoint folder.
     """
     run_date = run_ts.date()
-    new_queries = ingest_incremental(
-        inputs["query_log"], inputs["users"], state["sql_queries"], run_ts, inputs.get("query_log_history")
-    )
-    queries = state["sql_queries"].unionByName(new_queries)
 
-    catalog = keep(
-        catalog_union(
-            inputs["internal_tables"],
-            table_creation_times(inputs["class_info"], inputs["pg_namespace"]),
-            inputs["external_tables"],
+    def log() -> DataFrame:
+        return ingest_incremental(
+            inputs["query_log"], inputs["users"], state["sql_queries"], run_ts, inputs.get("query_log_history")
         )
-    )
-    tables = keep(scd2_apply(state["tables"], catalog, run_date, run_ts))
 
-    internal_edges = keep(
-        deps.internal_view_edges(
-            deps.view_dependency(inputs["pg_class"], inputs["pg_depend"], inputs["pg_namespace"])
+    def catalog() -> tuple[DataFrame, DataFrame]:
+        times = table_creation_times(inputs["class_info"], inputs["pg_namespace"])
+        seen = keep(catalog_union(inputs["internal_tables"], times, inputs["external_tables"]))
+        history = keep(scd2_apply(state["tables"], seen, run_date, run_ts))
+        internal_edges = keep(
+            deps.internal_view_edges(deps.view_dependency(inputs["pg_class"], inputs["pg_depend"], inputs["pg_namespace"]))
         )
-    )
-    external_edges = deps.external_view_edges(inputs["view_definitions"], tables, internal_edges)
-    objects = keep(deps.object_dependencies(internal_edges, external_edges))
+        external_edges = deps.external_view_edges(inputs["view_definitions"], history, internal_edges)
+        return history, keep(deps.object_dependencies(internal_edges, external_edges))
+
+    def sizes() -> tuple[DataFrame, DataFrame]:
+        every = space.snapshot_replace_day(state["internal_table_space"], inputs["table_space_source"], run_ts)
+        staged = space.space_stage(inputs["external_sizes"])
+        absent = space.insert_if_absent(state["spectrum_table_space"], staged, ["schema_table", "snapshot_date"])
+        return every, keep(absent.withColumn("created_at", moment(run_ts)))
+
+    # The three do not need each other, and each waits for small jobs of its own.
+    with ThreadPoolExecutor(3) as pool:
+        branches = [pool.submit(branch) for branch in (log, catalog, sizes)]
+        new_queries, (tables, objects), (internal_space, new_external) = [branch.result() for branch in branches]
+    queries = state["sql_queries"].unionByName(new_queries)
     used = keep(deps.attribute_queries(queries, tables, objects))
-
     new_internal = space.internal_snapshot(inputs["table_space_source"], run_ts)
-    internal_space = space.snapshot_replace_day(state["internal_table_space"], inputs["table_space_source"], run_ts)
-    new_external = keep(
-        space.insert_if_absent(
-            state["spectrum_table_space"], space.space_stage(inputs["external_sizes"]), ["schema_table", "snapshot_date"]
-        ).withColumn("created_at", moment(run_ts))
-    )
     external_space = state["spectrum_table_space"].unionByName(new_external)
 
     by_day = keep(

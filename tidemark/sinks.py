@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.readers import STAMP, state_folders
+
 
 def append_rows(df: DataFrame, path: str) -> None:
     """Incremental append and insert-if-absent: ``df`` holds only the rows that are new."""
@@ -29,12 +31,17 @@ def replace_days(df: DataFrame, path: str) -> None:
     writer.partitionBy("snapshot_date").parquet(path)
 
 
-def store_state(df: DataFrame, path: str, run_ts: dt.datetime) -> None:
+def store_state(df: DataFrame, path: str, run_ts: dt.datetime, retain: int | None = None) -> None:
     """Store a full new state beside the older ones; readers take the newest.
 
     The new state is computed from the stored one, so it never goes over it. A rerun with the
-    same stamp replaces only its own folder.
+    same stamp replaces only its own folder. With ``retain``, older states than the newest so many
+    are removed afterwards.
     """
-    stamped = df.withColumn("run_stamp", F.lit(run_ts.strftime("%Y%m%dT%H%M%S%f")))
+    stamped = df.withColumn(STAMP, F.lit(run_ts.strftime("%Y%m%dT%H%M%S%f")))
     writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_stamp").parquet(path)
+    writer.partitionBy(STAMP).parquet(path)
+    spark = df.sparkSession
+    for name in state_folders(spark, path)[: -retain] if retain else []:
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)

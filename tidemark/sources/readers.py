@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.sources.contracts import INPUTS, TARGETS
 
+#: The partition column that names a stored state by its run.
+STAMP = "run_stamp"
+
 
 def read_inputs(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
     """Read the inputs stored as ``<root>/<name>`` Parquet datasets."""
@@ -19,8 +21,13 @@ def read_target(spark: SparkSession, root: str, name: str) -> DataFrame:
     The table history is stored one full state per run; only the newest one is read.
     """
     path = f"{root}/{name}"
-    if name != "tables":
-        return spark.read.schema(TARGETS[name]).parquet(path)
-    states = spark.read.schema(TARGETS[name] + ", run_stamp string").parquet(path)
-    newest = states.agg(F.max("run_stamp")).first()[0]
-    return states.where(F.col("run_stamp") == newest).drop("run_stamp")
+    if name == "tables":
+        path = f"{path}/{state_folders(spark, path)[-1]}"
+    return spark.read.schema(TARGETS[name]).parquet(path)
+
+
+def state_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders of the states stored under ``path``, oldest first; no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(name for f in found if (name := f.getPath().getName()).startswith(f"{STAMP}="))
