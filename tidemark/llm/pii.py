@@ -116,6 +116,11 @@ def _text_rows(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFr
     return docs.select(row.alias("row"), F.col(doc_id).alias("doc_id"), whole.alias("text"), *more)
 
 
+def _labelled(spans: Column, kind: Column, *more: str) -> Column:
+    """Spans as (kind, start, end, ...)."""
+    return F.transform(spans, lambda s: F.struct(kind.alias("kind"), s["start"], s["end"], *[s[m].alias(m) for m in more]))
+
+
 def _pattern(left: Column) -> Column:
     """The two words before a span, in lower case; null where there are not two."""
     words = F.regexp_extract(left, LEFT, 1)
@@ -124,16 +129,10 @@ def _pattern(left: Column) -> Column:
 
 def occurrences(rows: DataFrame) -> DataFrame:
     """(row, kind, start, end, value, pattern) of base spans, and with a null kind of other tokens with digits."""
-    base = [
-        F.transform(kind, lambda s, k=kind: F.struct(F.lit(k).alias("kind"), s["start"], s["end"], s["value"], s["left"]))
-        for kind in KINDS
-    ]
+    base = [_labelled(F.col(kind), F.lit(kind), "value", "left") for kind in KINDS]
     known = F.flatten(F.array(*[F.col(kind) for kind in KINDS]))
     others = F.filter("unseen", lambda u: ~F.exists(known, lambda s: (s["start"] < u["end"]) & (u["start"] < s["end"])))
-    others = F.transform(
-        others,
-        lambda s: F.struct(F.lit(None).cast("string").alias("kind"), s["start"], s["end"], s["value"], s["left"]),
-    )
+    others = _labelled(others, F.lit(None).cast("string"), "value", "left")
     spans = rows.where(F.size(known) + F.size("unseen") > 0).select("row", F.explode(F.concat(*base, others)).alias("s"))
     return spans.select("row", "s.kind", "s.start", "s.end", "s.value", _pattern(F.col("s.left")).alias("pattern")).where(
         "pattern is not null"
@@ -160,10 +159,10 @@ def discover(docs: DataFrame, seen: DataFrame, text: str = "text", rounds: int =
     """
     edges = kept(seen.groupBy("pattern", "value").agg(F.max("kind").alias("kind"), F.count(F.lit(1)).alias("n")))
     known = kept(edges.where("kind is not null").select("value", "kind").distinct())
-    supported = F.countDistinct("value").alias("support")
-    usable = kept(
-        edges.where("kind is not null").groupBy("pattern").agg(supported).where(F.col("support") >= SUPPORT).select("pattern")
-    )
+    # a pattern that no unknown identifier follows can mark nothing
+    support = F.count_distinct(F.when(F.col("kind").isNotNull(), F.col("value"))).alias("support")
+    usable = edges.groupBy("pattern").agg(support, F.count_if(F.col("kind").isNull()).alias("unknown"))
+    usable = kept(usable.where((F.col("support") >= SUPPORT) & (F.col("unknown") > 0)).select("pattern"))
     if usable.isEmpty():
         return None
     totals = kept(pattern_totals(docs, usable, text))
@@ -198,9 +197,7 @@ def _listed(spans: Column) -> Column:
 
 def _base(rows: DataFrame) -> Column:
     """The base spans of all kinds as (kind's number, start, end), in that order."""
-    return F.concat(*[
-        F.transform(kind, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"], s["end"])) for k, kind in enumerate(KINDS)
-    ])
+    return F.concat(*[_labelled(F.col(kind), F.lit(number)) for number, kind in enumerate(KINDS)])
 
 
 def _with_found(rows: DataFrame, found: DataFrame | None) -> DataFrame:
