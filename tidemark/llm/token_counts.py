@@ -105,6 +105,19 @@ def piece_counts(docs: DataFrame, text: str = "text", path: str | None = None) -
     return pieces.mapInArrow(counted, "piece string, n long, tokens long")
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows from some frequency ``n`` on, as many as there can be up to ``most``; a few hundred numbers decide."""
+    step = F.floor(8 * F.log2("n")).alias("step")
+    steps = counts.groupBy(step).agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("step")).collect()
+    least, rows = None, 0
+    for found in steps:
+        rows += found["rows"]
+        if rows > most:
+            break
+        least = found["step"]
+    return counts.where(F.lit(False) if least is None else F.floor(8 * F.log2("n")) >= least)
+
+
 def token_counts(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, limit: int = 512
 ) -> DataFrame:
@@ -116,8 +129,8 @@ def token_counts(
     """
     spark = docs.sparkSession
     counts = kept(piece_counts(docs, text, path))
-    head = counts.where(F.length("piece") <= HEAD_CHARS).orderBy(F.desc("n"), "piece").limit(HEAD)
-    known = spark.sparkContext.broadcast(dict(head.select("piece", "tokens").toPandas().itertuples(index=False, name=None)))
+    head = most_frequent(counts.where(F.length("piece") <= HEAD_CHARS), HEAD).select("piece", "tokens").toPandas()
+    known = spark.sparkContext.broadcast(dict(head.itertuples(index=False, name=None)))
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, lookup, out = PreTokens(path), known.value, Rows(PARTS)
