@@ -5,10 +5,13 @@ SimHash, cut into segments whose width grows with the logarithm of the number of
 stay small at any size. Texts that share a segment up to one bit are candidates; those whose whole fingerprints
 are far apart drop out, and the Jaccard similarity of the shingle sets decides.
 
-Groups up to ``GROUP`` texts compare all their members. In a larger one a leader is compared with all
-others, then a leader of those that did not match any, and so on; once few are unmatched, they
-are compared with the whole group. So every text that matched no leader has met every
-other, and a group of near copies costs as many comparisons as it has members.
+Groups do not compare all their pairs. First each member meets the group's smallest, its head; what is
+alike is tied together. Texts that are tied already need no comparison, so of a group of near copies
+little is left, and what is left meets the members it is not tied to. Where many are left in a group, such
+groups that overlap form a block, and what is left meets the block's members tile by tile: a tile holds
+the shingle sets of a bounded number of texts on both sides, counts shingles in common, and hands on one
+link for each tie it finds. So any two texts of a group that end up apart have been compared, or
+one of them with texts tied to the other.
 """
 
 from __future__ import annotations
@@ -18,21 +21,24 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Rows, kept, rows_of
+from tidemark.llm.common import Rows, kept, rows_of, scratch
 from tidemark.llm.components import connected_components
 from tidemark.llm.simhash import BITS, shingles
+from tidemark.llm.urls import possible_hits
 
 LANES, PER_LANE, WIDEST = 2, 3, 21
 #: Words of the shingles that make fingerprints, and of those that decide; similarity from which texts are copies.
 SKETCH_WORDS, WORDS, SIMILARITY = 3, 5, 0.8
 #: Bits in which two fingerprints may differ, of all lanes; three deviations above what the similarity gives.
 FAR = 36
-GROUP, ROUNDS = 64, 8
+#: Texts of a group that may be left before its block is compared by tiles, and shingles of one side of a tile.
+GROUP, TILE = 32, 300_000
 
 SKETCHES = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("f0", pa.int64()), ("f1", pa.int64())])
 SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -101,60 +107,128 @@ def _pairs(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
+def tile_links(left: pd.DataFrame, members: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """For each text of ``left`` a link (u, v) to one alike of each tie among ``members``."""
+    if left.empty or members.empty:
+        return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+    members = members.sort_values("m_node")
+    sizes = members["m_shingles"].map(len).to_numpy()
+    hashes, owner = np.concatenate(members["m_shingles"].to_list()), np.repeat(np.arange(len(members)), sizes)
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    ids, ties, found = members["m_node"].to_numpy(), members["m_tie"].to_numpy(), []
+    for node, tie, own in zip(left["node"], left["tie"], left["shingles"], strict=True):
+        low, high = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+        places = np.repeat(low - np.cumsum(high - low) + (high - low), high - low) + np.arange((high - low).sum())
+        common = np.bincount(owner[places], minlength=len(members))
+        alike = np.flatnonzero((common >= similarity * (sizes + len(own) - common)) & (ties != tie))
+        _, one = np.unique(ties[alike], return_index=True)
+        found += [(node, ids[k]) for k in alike[one]]
+    return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+
 class Comparer:
-    """Compares candidate pairs, each once, and collects the links found."""
+    """Compares candidate pairs, each once, and ties together what is alike."""
 
     def __init__(self, docs: DataFrame, texts: DataFrame, words: int, similarity: float):
         self.docs, self.texts, self.words, self.similarity = docs, texts, words, similarity
-        self.done: DataFrame | None = None
-
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """The links (u, v) among ``pairs``, which may repeat."""
-        pairs = pairs.where("u <> v").distinct()
-        if self.done is not None:
-            pairs = pairs.join(self.done, ["u", "v"], "left_anti")
+        spark = docs.sparkSession
+        self.links = self.done = spark.createDataFrame([], "u long, v long")
+        self.sets = spark.createDataFrame([], "node long, shingles array<long>")
+        self.ties: DataFrame | None = None
+
+    def read(self, nodes: DataFrame) -> None:
+        """Make the shingle sets of ``nodes``; a Bloom filter keeps all other texts from moving."""
+        nodes = kept(nodes.distinct().join(self.sets, "node", "left_anti"))
+        if nodes.isEmpty():
+            return
+        possible = possible_hits(self.docs.withColumnRenamed("doc_id", "node"), nodes, "node").where("possible")
+        sets = shingle_sets(possible.join(nodes, "node", "left_semi").select("node", "text"), self.words)
+        # a repeated id has several texts; the first one's digest named the node, and any may stand for it
+        self.sets = self.sets.unionByName(kept(sets.groupBy("doc_id").agg(F.max("shingles").alias("shingles"))).withColumnRenamed("doc_id", "node"))
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Compare ``pairs`` (u, v), which may repeat and come again."""
+        pairs = pairs.where("u <> v").distinct().join(self.done, ["u", "v"], "left_anti")
         for side in ("u", "v"):
             lanes = [F.col(f"f{lane}").alias(f"{side}{lane}") for lane in range(LANES)]
             pairs = pairs.join(self.texts.select(F.col("node").alias(side), *lanes), side)
-        apart = sum((F.bit_count(F.col(f"u{n}").bitwiseXOR(F.col(f"v{n}"))) for n in range(1, LANES)), F.bit_count(F.col("u0").bitwiseXOR(F.col("v0"))))
-        near = kept(pairs.where(apart <= FAR).select("u", "v"))
-        needed = near.select(F.col("u").alias("doc_id")).unionByName(near.select(F.col("v").alias("doc_id"))).distinct()
-        sets = shingle_sets(self.docs.join(needed, "doc_id", "left_semi"), self.words).dropDuplicates(["doc_id"])
-        sets = kept(sets)
-        both = near.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), "u")
-        both = both.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b")), "v")
+        apart = [F.bit_count(F.col(f"u{n}").bitwiseXOR(F.col(f"v{n}"))) for n in range(LANES)]
+        near = kept(pairs.where(sum(apart[1:], apart[0]) <= FAR).select("u", "v"))
+        if near.isEmpty():
+            return
+        self.read(near.select(F.col("u").alias("node")).unionByName(near.select(F.col("v").alias("node"))))
+        both = near.join(self.sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+        both = both.join(self.sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
         common = F.size(F.array_intersect("a", "b"))
         alike = common >= self.similarity * (F.size("a") + F.size("b") - common)
         judged = kept(both.select("u", "v", alike.alias("alike")))
-        self.done = judged.select("u", "v") if self.done is None else self.done.unionByName(judged.select("u", "v"))
-        return judged.where("alike").select("u", "v")
+        self.done = self.done.unionByName(judged.select("u", "v"))
+        self.links, self.ties = self.links.unionByName(judged.where("alike").select("u", "v")), None
+
+    def compare_blocks(self, members: DataFrame, rest: DataFrame) -> DataFrame:
+        """Compare the nodes of ``rest`` (key, node) with all of ``members`` (key, node) in groups that overlap.
+
+        Gives (node, block, left): nodes of a block that stay apart have been compared if one of them was left.
+        """
+        heads = members.groupBy("key").agg(F.min("node").alias("v"))
+        edges = members.join(heads, "key").select(F.col("node").alias("u"), "v").distinct()
+        blocks = kept(connected_components(edges).withColumnRenamed("component", "block"))
+        left = rest.select("node").distinct().withColumn("left", F.lit(True))
+        self.read(blocks.select("node"))
+        everyone = self.tied(blocks).join(left, "node", "left").fillna(False, "left").join(self.sets, "node")
+        everyone = kept(everyone.withColumn("place", F.xxhash64("node", F.lit("tile"))))
+        size = F.size("shingles")
+        tiles = everyone.groupBy("block").agg(
+            F.ceil(F.sum(F.when(F.col("left"), size)) / TILE).alias("n_a"), F.ceil(F.sum(size) / TILE).alias("n_b")
+        )
+        nodes = everyone.join(tiles.where("n_a is not null"), "block")
+        each_a, each_b = (F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col(n) - 1, F.lit(0)))) for n in ("n_a", "n_b"))
+        own_a, own_b = (F.pmod("place", F.greatest(n, F.lit(1))) for n in ("n_a", "n_b"))
+        columns = ["block", "node", "tie", "shingles"]
+        a = nodes.where("left").select(*columns, own_a.alias("a"), each_b.alias("b")).groupBy("block", "a", "b")
+        renamed = [F.col(c).alias(f"m_{c}") for c in columns]
+        b = nodes.select(*renamed, own_b.alias("m_b"), each_a.alias("m_a")).groupBy("m_block", "m_a", "m_b")
+        links = a.cogroup(b).applyInPandas(partial(tile_links, similarity=self.similarity), "u long, v long")
+        self.links, self.ties = self.links.unionByName(kept(links)), None
+        return everyone.select("node", "block", "left")
+
+    def tied(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (node) with the name ``tie`` of what the node is tied to by the links so far."""
+        if self.ties is None:
+            self.ties = kept(connected_components(self.links).withColumnRenamed("component", "tie"))
+        return rows.join(self.ties, "node", "left").withColumn("tie", F.coalesce("tie", "node"))
 
 
 def near_links(docs: DataFrame, texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
     """(u, v): links between the distinct ``texts`` (node, f0, f1), which connect what the comparisons found alike."""
     comparer = Comparer(docs, texts, words, similarity)
     width = min(WIDEST, max(12, (texts.count() or 1).bit_length() + 3))
-    keyed = variants(texts, width)
-    sizes = kept(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    shared = kept(keyed.join(sizes, "key"))
-    small = shared.where(F.col("n") <= group)
-    other = small.select("key", F.col("node").alias("other"))
-    links = comparer.compare(small.join(other, "key").where("node < other").select(*_pairs("node", "other")))
-    members = shared.where(F.col("n") > group).select("key", "node")
-    open_ = members
-    for _ in range(ROUNDS):
-        heads = kept(open_.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where(F.col("n") > group))
-        if heads.isEmpty():
-            break
-        met = members.join(heads.select("key", "head"), "key")
-        links = links.unionByName(comparer.compare(met.select(*_pairs("node", "head"))))
-        tied = links.select(F.col("u").alias("node"), F.col("v").alias("head")).unionByName(
-            links.select(F.col("v").alias("node"), F.col("u").alias("head"))
-        )
-        left = open_.join(heads.select("key", "head"), "key", "left").where("head is null or node <> head")
-        open_ = kept(left.join(tied.distinct(), ["node", "head"], "left_anti").select("key", "node"))
-    rest = open_.select("key", F.col("node").alias("other"))
-    return links.unionByName(comparer.compare(members.join(rest, "key").select(*_pairs("node", "other"))))
+    with scratch(docs.sparkSession) as stored:
+        dealt = variants(texts, width).repartition("key")
+        sizes = dealt.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = stored(dealt.join(sizes, "key"))
+        comparer.compare(shared.select(*_pairs("node", "head")))
+
+        members = comparer.tied(shared.where("n > 2").select("key", "node"))
+        mixed = members.groupBy("key").agg(F.min("tie").alias("a"), F.max("tie").alias("b")).where("a <> b").select("key")
+        members = stored(members.join(mixed, "key", "left_semi").select("key", "node"))
+        first = members.groupBy("key").agg(F.min("node").alias("head"))
+        rest = comparer.tied(members).join(comparer.tied(first.select("key", F.col("head").alias("node"))).select("key", F.col("tie").alias("met")), "key")
+        rest = stored(rest.where("tie <> met").select("key", "node"))
+        crowded = stored(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("key"))
+        blocks = docs.sparkSession.createDataFrame([], "node long, block long, left boolean")
+        if not crowded.isEmpty():
+            blocks = comparer.compare_blocks(
+                members.join(crowded, "key", "left_semi"), rest.join(crowded, "key", "left_semi")
+            )
+        own = comparer.tied(members.join(crowded, "key", "left_anti")).join(blocks, "node", "left")
+        others = comparer.tied(rest.join(crowded, "key", "left_anti")).join(blocks, "node", "left")
+        others = others.select("key", F.col("node").alias("other"), F.col("tie").alias("met"), F.col("block").alias("same"), F.col("left").alias("was_left"))
+        met_before = (F.col("block") == F.col("same")) & (F.col("left") | F.col("was_left"))
+        new = (F.col("tie") != F.col("met")) & ~F.coalesce(met_before, F.lit(False))
+        comparer.compare(own.join(others, "key").where(new).select(*_pairs("node", "other")))
+    return comparer.links
 
 
 def duplicate_groups(
