@@ -13,7 +13,8 @@ import xxhash
 from tests.llm.helpers import TESTDATA, documents, nothing
 from tidemark.llm.common import table
 from tidemark.llm.components import connected_components
-from tidemark.llm.near_dedup import duplicate_groups, without_duplicates
+from tidemark.llm.near_dedup import duplicate_groups, sketches, without_duplicates
+from tidemark.llm.near_dedup import near_links as near_duplicate_links
 from tidemark.llm.simhash import fingerprint, near_links, simhash_components
 from tidemark.llm.topk import top_k
 
@@ -140,6 +141,19 @@ def test_near_copies_by_brute_force(spark, monkeypatch, group):
     assert dict(duplicate_groups(docs).collect()) == {i: groups.root(i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("width", [12, 21])
+def test_pairs_at_the_least_similarity_meet_at_every_width(spark, width):
+    rng = random.Random(width)
+    texts = []
+    for _ in range(200):  # one block replaced: as many shingles of three words differ as of five
+        words = [f"w{rng.getrandbits(30)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join([*words[:100], *(f"w{rng.getrandbits(30)}" for _ in range(40)), *words[140:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = sketches(docs).drop("digest").withColumnRenamed("doc_id", "node")
+    got = {(r.u, r.v) for r in near_duplicate_links(docs, nodes, width=width).collect()}
+    assert got <= {(i, i + 1) for i in range(0, 400, 2)} and len(got) >= 0.93 * 200
+
+
 def test_one_of_each_group_stays_with_all_columns(spark):
     docs = documents(spark)
     kept = without_duplicates(docs)

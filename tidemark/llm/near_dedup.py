@@ -1,8 +1,9 @@
 """Near-duplicate documents: SimHash deletion variants propose, shared word shingles decide.
 
-Equal word sequences are one text, named by its smallest document. Each text gets two lanes of a
+Equal word sequences are one text, named by its smallest document. Each text gets several lanes of a
 SimHash, cut into segments whose width grows with the logarithm of the number of texts, so that chance groups
-stay small at any size. Texts that share a segment up to one bit are candidates; those whose whole fingerprints
+stay small; the number of segments grows with their width, so that the chance of a pair at the least
+similarity to share one stays the same at any size. Texts that share a segment up to one bit are candidates; those whose whole fingerprints
 are far apart drop out, and the Jaccard similarity of the shingle sets decides.
 
 Groups do not compare all their pairs. First each member meets the group's smallest, its head; what is
@@ -17,6 +18,7 @@ one of them with texts tied to the other.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -32,47 +34,79 @@ from tidemark.llm.components import connected_components
 from tidemark.llm.simhash import BITS, shingles
 from tidemark.llm.urls import possible_hits
 
-LANES, PER_LANE, WIDEST = 2, 3, 21
+PER_LANE, NARROWEST, WIDEST = 3, 12, 21
 #: Words of the shingles that make fingerprints, and of those that decide; similarity from which texts are copies.
 SKETCH_WORDS, WORDS, SIMILARITY = 3, 5, 0.8
-#: Bits in which two fingerprints may differ, of all lanes; three deviations above what the similarity gives.
-FAR = 36
+#: Chance that a pair at just that similarity becomes a candidate, whatever the width.
+RECALL = 0.965
+
+
+def n_segments(width: int, similarity: float = SIMILARITY) -> int:
+    """So many segments of ``width`` bits propose a pair of ``similarity`` with a chance of RECALL.
+
+    A pair shares 2 s / (1 + s) of its shingles; a bit of their SimHashes agrees by the angle of that cosine.
+    """
+    agree = 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
+    one = agree**width + width * (1 - agree) * agree ** (width - 1)
+    return math.ceil(math.log(1 - RECALL) / math.log(1 - one))
+
+
+LANES = -(-n_segments(WIDEST) // PER_LANE)
+#: Bits in which two fingerprints may differ, of all lanes; over four deviations above what the similarity gives.
+FAR = 105
 #: Texts of a group that may be left before its block is compared by tiles, and shingles of one side of a tile.
 GROUP, TILE = 32, 300_000
+#: Shingles whose bits are counted at once.
+AT_ONCE = 8_192
 
-SKETCHES = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("f0", pa.int64()), ("f1", pa.int64())])
+SKETCHES = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), *((f"f{n}", pa.int64()) for n in range(LANES))])
+FINGERPRINT = SKETCHES.names[2:]
 SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
 
-def _sketch(text: str | None) -> tuple[bytes, int, int]:
-    """The digest of a text's words, and both lanes of its SimHash."""
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the shingles set each bit of all lanes; every lane mixes the hashes anew."""
+    ones = np.zeros(LANES * BITS, np.int64)
+    for at in range(0, len(hashes), AT_ONCE):
+        lanes = np.empty((min(AT_ONCE, len(hashes) - at), LANES), "<u8")
+        lanes[:, 0] = hashes[at : at + AT_ONCE]
+        for n in range(1, LANES):
+            mixed = lanes[:, 0] + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))
+            mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            lanes[:, n] = mixed ^ (mixed >> np.uint64(31))
+        bits = np.unpackbits(lanes.view(np.uint8), axis=1, bitorder="little")
+        # up to 255 ones fit into a byte
+        for first in range(0, len(bits), 255):
+            ones += bits[first : first + 255].sum(axis=0, dtype=np.uint8)
+    return ones
+
+
+def _sketch(text: str | None) -> tuple[bytes, list[int]]:
+    """The digest of a text's words, and all lanes of its SimHash."""
     digest, ones, n = hashlib.md5(usedforsecurity=False), np.zeros(LANES * BITS, np.int64), 0
     hash_ = partial(xxhash.xxh64_intdigest, seed=42)
     for part in shingles(text, 1):
         digest.update(b" ".join([b"", *part]))
     for part in shingles(text, SKETCH_WORDS):
-        first = np.fromiter(map(hash_, part), np.uint64, len(part))
-        second = (first ^ (first >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        second ^= second >> np.uint64(29)
-        lanes = np.stack([first, second], axis=1).astype("<u8").view(np.uint8)
-        ones += np.unpackbits(lanes, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        ones += _ones(np.fromiter(map(hash_, part), np.uint64, len(part)))
         n += len(part)
-    f0, f1 = np.packbits(2 * ones > n, bitorder="little").view("<i8")
-    return digest.digest(), int(f0), int(f1)
+    return digest.digest(), np.packbits(2 * ones > n, bitorder="little").view("<i8").tolist()
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, f0, f1) of every row."""
+    """(doc_id, digest, f0, f1, ...) of every row."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(SKETCHES)
         for id_, text in rows_of(batches):
-            out.add(id_, *_sketch(text))
+            digest, lanes = _sketch(text)
+            out.add(id_, digest, *lanes)
             if out.full():
                 yield out.take()
         yield out.take()
 
-    return docs.mapInArrow(of, "doc_id long, digest binary, f0 long, f1 long")
+    return docs.mapInArrow(of, ", ".join(["doc_id long", "digest binary", *(f"{f} long" for f in FINGERPRINT)]))
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -94,12 +128,11 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 def variants(texts: DataFrame, width: int) -> DataFrame:
     """(key, node): a row for each text, segment and bit left out."""
     keys = []
-    for lane in range(LANES):
-        for part in range(PER_LANE):
-            segment = F.shiftrightunsigned(F.col(f"f{lane}"), part * WIDEST).bitwiseAND(F.lit((1 << width) - 1))
-            for bit in range(width):
-                number = (lane * PER_LANE + part) * WIDEST + bit
-                keys.append(segment.bitwiseAND(F.lit(~(1 << bit))).bitwiseOR(F.lit(number << 32)))
+    for number in range(n_segments(width)):
+        lane, part = divmod(number, PER_LANE)
+        segment = F.shiftrightunsigned(F.col(f"f{lane}"), part * WIDEST).bitwiseAND(F.lit((1 << width) - 1))
+        for bit in range(width):
+            keys.append(segment.bitwiseAND(F.lit(~(1 << bit))).bitwiseOR(F.lit(number * WIDEST + bit << 32)))
     return texts.select(F.explode(F.array(*keys)).alias("key"), "node")
 
 
@@ -200,10 +233,13 @@ class Comparer:
         return rows.join(self.ties, "node", "left").withColumn("tie", F.coalesce("tie", "node"))
 
 
-def near_links(docs: DataFrame, texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
-    """(u, v): links between the distinct ``texts`` (node, f0, f1), which connect what the comparisons found alike."""
+def near_links(docs: DataFrame, texts: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, group: int = GROUP, *, width: int | None = None) -> DataFrame:
+    """(u, v): links between the distinct ``texts`` (node, f0, f1, ...), which connect what the comparisons found alike.
+
+    ``width`` is that of the segments; None takes it from the number of texts.
+    """
     comparer = Comparer(docs, texts, words, similarity)
-    width = min(WIDEST, max(12, (texts.count() or 1).bit_length() + 3))
+    width = width or min(WIDEST, max(NARROWEST, (texts.count() or 1).bit_length() + 3))
     with scratch(docs.sparkSession) as stored:
         dealt = variants(texts, width).repartition("key")
         sizes = dealt.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -244,10 +280,10 @@ def duplicate_groups(
     rows = rows.where("doc_id is not null")
     found = kept(sketches(rows))
     texts = kept(
-        found.groupBy("digest").agg(F.min(F.struct("doc_id", "f0", "f1")).alias("t")).select("digest", "t.doc_id", "t.f0", "t.f1")
+        found.groupBy("digest").agg(F.min(F.struct("doc_id", *FINGERPRINT)).alias("t")).select("digest", "t.*")
     ).withColumnRenamed("doc_id", "node")
     named = found.select("doc_id", "digest").join(texts.select("digest", "node"), "digest").select("doc_id", "node").distinct()
-    links = near_links(rows, texts.select("node", "f0", "f1"), words, similarity)
+    links = near_links(rows, texts.select("node", *FINGERPRINT), words, similarity)
     copies = named.where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     groups = kept(connected_components(links.unionByName(copies)))
     ids = found.select("doc_id").distinct()
