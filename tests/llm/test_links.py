@@ -154,6 +154,22 @@ def test_pairs_at_the_least_similarity_meet_at_every_width(spark, width):
     assert got <= {(i, i + 1) for i in range(0, 400, 2)} and len(got) >= 0.93 * 200
 
 
+def test_copies_with_repeated_lines_by_brute_force(spark):
+    rng = random.Random(6)
+    texts = []
+    for times in (1, 3, 10, 25, 60):  # a line of twelve words, repeated
+        words, line = ([f"w{rng.randrange(5000)}" for _ in range(n)] for n in (400, 12))
+        texts += [" ".join(words), " ".join([*words, *line * times]), " ".join([*words[:200], *line * 2, *words[200:]])]
+    sets = [shingle_set(t) for t in texts]
+    groups = Groups()
+    for i, j in combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            groups.tie(i, j)
+    assert len({groups.root(i) for i in range(len(texts))}) == 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert dict(duplicate_groups(docs).collect()) == {i: groups.root(i) for i in range(len(texts))}
+
+
 def test_one_of_each_group_stays_with_all_columns(spark):
     docs = documents(spark)
     kept = without_duplicates(docs)

@@ -1,7 +1,7 @@
 """Near-duplicate documents: SimHash deletion variants propose, shared word shingles decide.
 
 Equal word sequences are one text, named by its smallest document. Each text gets several lanes of a
-SimHash, cut into segments whose width grows with the logarithm of the number of texts, so that chance groups
+SimHash of its distinct shingles, as the decision takes them, cut into segments whose width grows with the logarithm of the number of texts, so that chance groups
 stay small; the number of segments grows with their width, so that the chance of a pair at the least
 similarity to share one stays the same at any size. Texts that share a segment up to one bit are candidates; those whose whole fingerprints
 are far apart drop out, and the Jaccard similarity of the shingle sets decides.
@@ -64,6 +64,13 @@ FINGERPRINT = SKETCHES.names[2:]
 SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
 
+def _distinct(text: str | None, words: int) -> np.ndarray:
+    """The hashes of a text's distinct shingles, in order."""
+    hash_ = partial(xxhash.xxh64_intdigest, seed=42)
+    parts = [np.fromiter(map(hash_, part), np.uint64, len(part)) for part in shingles(text, words)]
+    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+
+
 def _ones(hashes: np.ndarray) -> np.ndarray:
     """How many of the shingles set each bit of all lanes; every lane mixes the hashes anew."""
     ones = np.zeros(LANES * BITS, np.int64)
@@ -83,15 +90,12 @@ def _ones(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sketch(text: str | None) -> tuple[bytes, list[int]]:
-    """The digest of a text's words, and all lanes of its SimHash."""
-    digest, ones, n = hashlib.md5(usedforsecurity=False), np.zeros(LANES * BITS, np.int64), 0
-    hash_ = partial(xxhash.xxh64_intdigest, seed=42)
+    """The digest of a text's words, and all lanes of the SimHash of its distinct shingles."""
+    digest = hashlib.md5(usedforsecurity=False)
     for part in shingles(text, 1):
         digest.update(b" ".join([b"", *part]))
-    for part in shingles(text, SKETCH_WORDS):
-        ones += _ones(np.fromiter(map(hash_, part), np.uint64, len(part)))
-        n += len(part)
-    return digest.digest(), np.packbits(2 * ones > n, bitorder="little").view("<i8").tolist()
+    found = _distinct(text, SKETCH_WORDS)
+    return digest.digest(), np.packbits(2 * _ones(found) > len(found), bitorder="little").view("<i8").tolist()
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -113,11 +117,9 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, shingles): the hashes of the distinct shingles of every row, in order."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, hash_ = Rows(SETS, 500), partial(xxhash.xxh64_intdigest, seed=42)
+        out = Rows(SETS, 500)
         for id_, text in rows_of(batches):
-            parts = [np.fromiter(map(hash_, part), np.uint64, len(part)) for part in shingles(text, words)]
-            found = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
-            out.add(id_, found.view(np.int64))
+            out.add(id_, _distinct(text, words).view(np.int64))
             if out.full():
                 yield out.take()
         yield out.take()
