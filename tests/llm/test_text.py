@@ -117,6 +117,21 @@ def test_contexts_find_unseen_identifiers(spark):
     assert got[31].spans == got[32].spans == ""
 
 
+def test_found_identifiers_support_further_contexts(spark):
+    first = [f"please call me at +1 (2{n:02d}) 555-01{n:02d} soon" for n in range(30)]
+    first += [f"please call me at 0044-7700-{n} soon" for n in range(9001, 9005)]
+    # each context shares some identifiers with the one before only
+    hops = [f"{words} 0044-7700-{n} today" for words, lot in (
+        ("desk number is", (9001, 9002, 9003, 9004, 9005)), ("reach us under", (9001, 9002, 9005, 9006)), ("fax goes to", (9001, 9005, 9006, 9007)),
+        ("ask again at", (9005, 9006, 9007, 9008)), ("or write to", (9006, 9007, 9008, 9009)),
+    ) for n in lot]
+    got = spans_of(spark, [*first, *hops, "we saw room 99887766 there"])
+    for n, text in enumerate(hops, len(first)):
+        start = text.index("0044")
+        assert got[n].spans == f"phone:{start}:{start + 14}", text
+    assert got[len(first) + len(hops)].spans == ""
+
+
 def test_masking_keeps_rows_and_columns(spark):
     docs = documents(spark).unionByName(
         spark.createDataFrame([(90, "mail é a@b.cd or +1 (743) 555-3824.", "p", 1, "s")], documents(spark).schema)

@@ -3,8 +3,8 @@
 The forms are exact patterns. They are the seeds of a bootstrap: the two words before a seed make a
 lexical pattern; patterns and the identifiers that follow them form a graph, and in each round a
 pattern is scored by the share of its occurrences that known identifiers follow, and an unknown identifier
-by the patterns it follows. Identifiers that score high become known and support further patterns. In the
-end, what stands behind a trusted pattern and was accepted is marked, though no form fits it.
+by the patterns it follows. Identifiers that score high become known and support further patterns, until
+a round finds no more. In the end, what stands behind a trusted pattern and was accepted is marked, though no form fits it.
 
 Everything is a DataFrame expression. Places come from the lengths of what stands between matches.
 The patterns take what they can without going back (possessive), so long runs stay linear.
@@ -38,7 +38,6 @@ LEFT_CHARS, LEFT = 80, r"(\S+\s+\S+)\s+\S{0,3}$"
 SUPPORT, TRUST = 3, 0.6
 #: An identifier's patterns together must make it so likely; it has so many digits at least.
 ACCEPT, DIGITS = 0.6, 4
-ROUNDS = 3
 #: Patterns, each within LEFT_CHARS, that are broadcast at most; more are counted by a shuffle.
 BROADCAST = 100_000
 
@@ -151,28 +150,34 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame, text: str) -> DataFrame
     return found.groupBy("pattern").agg(F.count(F.lit(1)).alias("total")).join(patterns, "pattern", "left_semi")
 
 
-def discover(docs: DataFrame, seen: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame | None:
-    """(row, kind, start, end): identifiers that trusted patterns mark; None if no pattern has support.
+def discover(docs: DataFrame, seen: DataFrame, text: str = "text") -> DataFrame | None:
+    """(row, kind, start, end): identifiers that trusted patterns mark; None if no pattern is trusted.
 
     A pattern is scored for a kind by the share of its occurrences that known identifiers of the kind
-    follow; an identifier by the chance that at least one of its patterns is right.
+    follow; an identifier by the chance that at least one of its patterns is right. Each round takes
+    the patterns that known identifiers support by then, and counts in the texts only those that are
+    new. What is known never shrinks, so the rounds end.
     """
     edges = kept(seen.groupBy("pattern", "value").agg(F.max("kind").alias("kind"), F.count(F.lit(1)).alias("n")))
     known = kept(edges.where("kind is not null").select("value", "kind").distinct())
-    # a pattern that no unknown identifier follows can mark nothing
-    support = F.count_distinct(F.when(F.col("kind").isNotNull(), F.col("value"))).alias("support")
-    usable = edges.groupBy("pattern").agg(support, F.count_if(F.col("kind").isNull()).alias("unknown"))
-    usable = kept(usable.where((F.col("support") >= SUPPORT) & (F.col("unknown") > 0)).select("pattern"))
-    if usable.isEmpty():
-        return None
-    totals = kept(pattern_totals(docs, usable, text))
     free = edges.where("kind is null").select("pattern", "value", "n")
-    accepted = trusted = None
-    for _ in range(rounds):
-        followed = edges.drop("kind").join(known, "value").groupBy("pattern", "kind")
+    # a pattern that no unknown identifier follows can mark nothing
+    usable = kept(free.select("pattern").distinct())
+    linked = edges.drop("kind").join(usable, "pattern", "left_semi")
+    accepted = trusted = totals = None
+    while True:
+        followed = linked.join(known, "value").groupBy("pattern", "kind")
         scores = followed.agg(F.sum("n").alias("hits"), F.countDistinct("value").alias("support"))
+        scores = kept(scores.where(F.col("support") >= SUPPORT))
+        new = scores.select("pattern").distinct()
+        new = kept(new if totals is None else new.join(totals, "pattern", "left_anti"))
+        if not new.isEmpty():
+            counted = kept(pattern_totals(docs, new, text))
+            totals = counted if totals is None else totals.unionByName(counted)
+        if totals is None:
+            return None
         scores = scores.join(totals, "pattern").withColumn("trust", F.least(F.col("hits") / F.col("total"), F.lit(0.999)))
-        trusted = kept(scores.where((F.col("trust") >= TRUST) & (F.col("support") >= SUPPORT)).select("pattern", "kind", "trust"))
+        trusted = kept(scores.where(F.col("trust") >= TRUST).select("pattern", "kind", "trust"))
         if trusted.isEmpty():
             return None
         chance = (1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("chance")
