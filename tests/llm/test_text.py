@@ -262,6 +262,30 @@ def test_recall_of_edited_passages(spark, edits, least):
     assert len([p for p in got if p[0] % 60 != p[1]]) == 0
 
 
+def found_pairs(spark, items, docs):
+    found = decontamination.benchmark_matches(
+        spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(docs)], "doc_id long, text string"),
+        spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id long, text string"),
+    )
+    return {(r.doc_id, r.item_id) for r in found.collect()}
+
+
+@pytest.mark.parametrize("size", [8, 10, 15, 20, 30, 39, 40, 60, 120])
+def test_recall_at_all_edits_allowed(spark, size):
+    rng = random.Random(size)
+    word = lambda: f"w{rng.getrandbits(30)}"
+    items = [[word() for _ in range(size)] for _ in range(50)]
+    docs = []
+    for n in range(400):
+        passage = list(items[n % 50])
+        for _ in range(size // 5):
+            at = rng.randrange(len(passage))
+            passage[at : at + rng.randrange(2)] = [word()] * rng.randrange(2) or [word()]
+        docs.append([*(word() for _ in range(rng.randrange(90))), *passage, *(word() for _ in range(rng.randrange(90)))])
+    got = found_pairs(spark, items, docs)
+    assert got <= {(n, n % 50) for n in range(400)} and len(got) >= 0.93 * 400
+
+
 def test_awkward_documents_hold_no_leak(spark):
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine"), (2, None), (3, "a"), (None, "a b c d e f g h")], "item_id long, text string")
     docs = documents(spark, [*TEXTS, "x ONE two, three four five six seven eight nine."])

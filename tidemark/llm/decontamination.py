@@ -6,10 +6,10 @@ part and soon meet again, so few edits change few emitted words. Bit sampling th
 keys: a key is made of the words emitted at a few random steps, and independent repetitions (walk and
 steps drawn anew) raise the chance that a passage shares a key with its item to the wanted recall.
 
-Windows are as long as items: items fall into length classes, each with a window and a stride.
-Windows of a text start at multiples of the stride, those of an item at each of its first words, so one
-of them starts where a window of the text does. Keys only propose: the edit distance of the whole
-item, counted in words, decides. All walks of a batch of texts advance together in numpy.
+Items fall into length classes, each with a window and a stride. Windows of a text start at multiples of
+the stride, those of an item at each of its words that has a window behind it, so wherever a text holds a part
+of an item, windows of both start at the same place; a longer item has more of them. Keys only
+propose: the edit distance of the whole item, counted in words, decides. All walks of a batch of texts advance together in numpy.
 """
 
 from __future__ import annotations
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Rows
 
-#: Words of a window and its stride, by length class; an item is in the last class with window + stride <= words + 1.
-CLASSES = ((8, 1), (12, 4), (24, 8), (40, 16))
-#: Steps that make a key, the chance that one step agrees at the edits to be found, and the recall wanted there.
-SAMPLED, AGREEMENT, RECALL = 4, 0.72, 0.95
+#: Steps that make a key.
+SAMPLED = 4
+#: By length class: words of a window, its stride, the fewest words of its items, and the repetitions. Simulated with
+#: random edits of EDITS of the words, these find 0.95 of the items at the class's worst length and more of longer ones.
+CLASSES = ((8, 1, 8, 12), (12, 4, 15, 16), (24, 8, 40, 12))
 #: Share of an item's words that may be edited.
 EDITS = 0.2
 #: Items that are broadcast at once; a longer benchmark takes several passes.
@@ -45,11 +46,6 @@ HITS = pa.schema([
 CHUNKS, LETTERS = re.compile(r"\S+"), re.compile(r"\w+")
 
 
-def repetitions(sampled: int = SAMPLED, agreement: float = AGREEMENT, recall: float = RECALL) -> int:
-    """So many independent keys share one with the wanted chance."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - agreement**sampled))
-
-
 class WordNumbers(dict):
     """A number above zero for each word: what stands between white space, in lower case, without its punctuation."""
 
@@ -131,29 +127,32 @@ class BenchmarkIndex:
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.items = items
         self.classes = []
-        for n, (window, stride) in enumerate(CLASSES):
-            longer = CLASSES[n + 1] if n + 1 < len(CLASSES) else None
-            own = [
-                i
-                for i, (_, words) in enumerate(items)
-                if len(words) + 1 >= window + stride and (longer is None or len(words) + 1 < sum(longer))
-            ]
+        for n, (window, stride, shortest, repetitions) in enumerate(CLASSES):
+            longest = CLASSES[n + 1][2] - 1 if n + 1 < len(CLASSES) else math.inf
+            own = [i for i, (_, words) in enumerate(items) if shortest <= len(words) <= longest]
             if own:
-                walks = [Walk(window, r) for r in range(repetitions())]
-                self.classes.append((stride, [(walk, *self._table(walk, own, stride)) for walk in walks]))
-
-    def _table(self, walk: Walk, own: list[int], stride: int) -> tuple[np.ndarray, ...]:
-        keys, item, shift = [], [], []
+                walks = [Walk(window, r) for r in range(repetitions)]
+                self.classes.append((stride, self._tables(walks, own, window, stride)))
+
+    def _tables(self, walks: list[Walk], own: list[int], window: int, stride: int) -> list[tuple]:
+        """Per walk, with the keys in order: (walk, present, keys, item, shift of the window in its item)."""
+        padded, end = [], np.full(128, SEPARATOR, np.uint32)
+        counts = np.array([max(stride, len(self.items[i][1]) - window + 1) for i in own])
+        lengths = np.array([len(self.items[i][1]) + len(end) for i in own])
         for i in own:
-            words = np.concatenate([self.items[i][1], np.full(128, SEPARATOR, np.uint32)])
-            keys.append(walk.keys(words, np.arange(stride)))
-            item += [i] * stride
-            shift += range(stride)
-        keys = np.concatenate(keys)
-        order = np.argsort(keys, kind="stable")
-        present = np.zeros(1 << TABLE_BITS, bool)
-        present[keys >> np.uint32(32 - TABLE_BITS)] = True
-        return present, keys[order], np.array(item)[order], np.array(shift)[order]
+            padded += [self.items[i][1], end]
+        words = np.concatenate(padded)
+        item = np.repeat(np.array(own, np.int32), counts)
+        shift = (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.int32)
+        starts = np.repeat(np.cumsum(lengths) - lengths, counts) + shift
+        tables = []
+        for walk in walks:
+            keys = walk.keys(words, starts)
+            order = np.argsort(keys, kind="stable")
+            present = np.zeros(1 << TABLE_BITS, bool)
+            present[keys >> np.uint32(32 - TABLE_BITS)] = True
+            tables.append((walk, present, keys[order], item[order], shift[order]))
+        return tables
 
     def candidates(self, words: np.ndarray) -> set[tuple[int, int]]:
         """(item, place in ``words`` where it would start); ``words`` ends with 128 separators."""
