@@ -286,6 +286,15 @@ def test_recall_at_all_edits_allowed(spark, size):
     assert got <= {(n, n % 50) for n in range(400)} and len(got) >= 0.93 * 400
 
 
+def test_long_items_are_found_by_any_part(spark):
+    rng = random.Random(4)
+    word = lambda: f"w{rng.getrandbits(30)}"
+    items = [[word() for _ in range(300)] for _ in range(20)]
+    docs = [[word() if at < 55 else w for at, w in enumerate(item)] for item in items]  # the lead is another's
+    docs += [item[55:] for item in items]  # the lead is missing, and the text starts with the rest
+    assert found_pairs(spark, items, docs) == {(n, n % 20) for n in range(40)}
+
+
 def test_awkward_documents_hold_no_leak(spark):
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine"), (2, None), (3, "a"), (None, "a b c d e f g h")], "item_id long, text string")
     docs = documents(spark, [*TEXTS, "x ONE two, three four five six seven eight nine."])

@@ -33,8 +33,8 @@ SAMPLED = 4
 CLASSES = ((8, 1, 8, 12), (12, 4, 15, 16), (24, 8, 40, 12))
 #: Share of an item's words that may be edited.
 EDITS = 0.2
-#: Items that are broadcast at once; a longer benchmark takes several passes.
-ITEMS = 20_000
+#: Words of the items that are broadcast at once; a longer benchmark takes several passes.
+ITEM_WORDS = 1_000_000
 #: Words of the texts that are walked at once.
 WORDS_AT_ONCE = 200_000
 SEPARATOR = 0
@@ -154,30 +154,47 @@ class BenchmarkIndex:
             tables.append((walk, present, keys[order], item[order], shift[order]))
         return tables
 
-    def candidates(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place in ``words`` where it would start); ``words`` ends with 128 separators."""
-        found: set[tuple[int, int]] = set()
+    def candidates(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Rows (text, item, place in ``words`` where it would start), in order; ``words`` ends with 128 separators.
+
+        The place may lie before the text, where the text holds only the rest of an item.
+        """
+        found = [np.empty((0, 3), np.int64)]
         for stride, tables in self.classes:
-            starts = np.arange(0, len(words) - 128, stride)
+            starts, new = np.arange(0, len(words) - 128, stride), []
             for walk, present, keys, item, shift in tables:
                 own = walk.keys(words, starts)
                 likely = np.flatnonzero(present[own >> np.uint32(32 - TABLE_BITS)])
                 low = np.searchsorted(keys, own[likely], "left")
-                high = np.searchsorted(keys, own[likely], "right")
-                hit = high > low
-                for start, a, b in zip(starts[likely[hit]], low[hit], high[hit], strict=True):
-                    found.update((int(item[k]), int(start - shift[k])) for k in range(a, b))
-        return found
+                n = np.searchsorted(keys, own[likely], "right") - low
+                k = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                start = np.repeat(starts[likely], n)
+                text = np.minimum(np.searchsorted(bounds, start, "right") - 1, len(bounds) - 2)
+                new.append(np.stack([text, item[k], start - shift[k]], axis=1))
+            found.append(np.unique(np.concatenate(new), axis=0))
+        return np.unique(np.concatenate(found), axis=0)
+
+    def regions(self, words: np.ndarray, bounds: np.ndarray, share: float) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, first place, last place): candidates of one item that lie as near as its edits can move them."""
+        now: tuple[int, int, int, int] | None = None
+        for number, item, place in self.candidates(words, bounds).tolist():
+            if now and now[:2] == (number, item) and place - now[2] <= share * len(self.items[item][1]):
+                now = (number, item, now[2], place)
+                continue
+            if now:
+                yield now
+            now = (number, item, place, place)
+        if now:
+            yield now
 
     def matches(self, words: np.ndarray, bounds: np.ndarray, share: float = EDITS) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, first word, end word, edits) of the best place of each item in each text."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for item, place in sorted(self.candidates(words)):
-            number, own = int(np.searchsorted(bounds, place, "right")) - 1, self.items[item][1]
-            number = max(0, min(number, len(bounds) - 2))
+        for number, item, least, greatest in self.regions(words, bounds, share):
+            own = self.items[item][1]
             most = int(share * len(own))
             first, last = bounds[number], bounds[number + 1] - 1
-            low, high = max(first, place - most), min(last, place + len(own) + most)
+            low, high = max(first, least - most), min(last, greatest + len(own) + most)
             if best.get((number, item), (most + 1,))[0] == 0 or high - low < len(own) - most:
                 continue
             region = words[low:high]
@@ -245,7 +262,8 @@ def benchmark_matches(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     items = items.where("text is not null").distinct()
-    passes = max(1, -(-items.count() // ITEMS))
+    n_words = items.agg(F.sum(F.size(F.split("text", r"\s+")).cast("long"))).first()[0] or 0
+    passes = max(1, -(-n_words // ITEM_WORDS))
     found = None
     for number in range(passes):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number)
