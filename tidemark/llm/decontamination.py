@@ -198,7 +198,8 @@ class BenchmarkIndex:
             if best.get((number, item), (most + 1,))[0] == 0 or high - low < len(own) - most:
                 continue
             region = words[low:high]
-            if np.isin(own, region).sum() < len(own) - most:
+            ordered = np.sort(region)
+            if (ordered[np.minimum(np.searchsorted(ordered, own), len(ordered) - 1)] == own).sum() < len(own) - most:
                 continue
             edits, start, end = edit_distance(own, region)
             if edits <= most and (edits, low + start - first) < best.get((number, item), (most + 1, 0, 0))[:2]:
