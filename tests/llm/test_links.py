@@ -13,9 +13,7 @@ import xxhash
 from tests.llm.helpers import TESTDATA, documents, nothing
 from tidemark.llm.common import table
 from tidemark.llm.components import connected_components
-from tidemark.llm.near_dedup import duplicate_groups, sketches, without_duplicates
-from tidemark.llm.near_dedup import near_links as near_duplicate_links
-from tidemark.llm.simhash import fingerprint, near_links, simhash_components
+from tidemark.llm.simhash import fingerprint, near_links, simhash_components, without_near_copies
 from tidemark.llm.topk import top_k
 
 
@@ -110,73 +108,21 @@ def test_awkward_documents_have_components(spark):
     assert simhash_components(nothing(spark)).count() == 0
 
 
-def near_copies(rng, base, n, edits):
-    for _ in range(n):
-        words = list(base)
-        for _ in range(edits):
-            words[rng.randrange(len(words))] = f"e{rng.getrandbits(30)}"
-        yield " ".join(words)
-
-
-def shingle_set(text):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-@pytest.mark.parametrize("group", [4, 64])
-def test_near_copies_by_brute_force(spark, monkeypatch, group):
-    monkeypatch.setattr("tidemark.llm.near_dedup.near_links.__defaults__", (5, 0.8, group))
-    rng = random.Random(2)
-    texts = []
-    for size in (40, 120, 400):
-        base = [f"w{rng.randrange(2000)}" for _ in range(size)]
-        texts += [*near_copies(rng, base, 12, max(1, size // 200)), " ".join(base).upper(), " ".join(base)]
-    texts += [" ".join(f"w{rng.randrange(2000)}" for _ in range(60)) for _ in range(40)]
-    sets = [shingle_set(t) for t in texts]
-    groups = Groups()
-    for i, j in combinations(range(len(texts)), 2):
-        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-            groups.tie(i, j)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert dict(duplicate_groups(docs).collect()) == {i: groups.root(i) for i in range(len(texts))}
-
-
-@pytest.mark.parametrize("width", [12, 21])
-def test_pairs_at_the_least_similarity_meet_at_every_width(spark, width):
-    rng = random.Random(width)
-    texts = []
-    for _ in range(200):  # one block replaced: as many shingles of three words differ as of five
-        words = [f"w{rng.getrandbits(30)}" for _ in range(400)]
-        texts += [" ".join(words), " ".join([*words[:100], *(f"w{rng.getrandbits(30)}" for _ in range(40)), *words[140:]])]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    nodes = sketches(docs).drop("digest").withColumnRenamed("doc_id", "node")
-    got = {(r.u, r.v) for r in near_duplicate_links(docs, nodes, width=width).collect()}
-    assert got <= {(i, i + 1) for i in range(0, 400, 2)} and len(got) >= 0.93 * 200
-
-
-def test_copies_with_repeated_lines_by_brute_force(spark):
-    rng = random.Random(6)
-    texts = []
-    for times in (1, 3, 10, 25, 60):  # a line of twelve words, repeated
-        words, line = ([f"w{rng.randrange(5000)}" for _ in range(n)] for n in (400, 12))
-        texts += [" ".join(words), " ".join([*words, *line * times]), " ".join([*words[:200], *line * 2, *words[200:]])]
-    sets = [shingle_set(t) for t in texts]
-    groups = Groups()
-    for i, j in combinations(range(len(texts)), 2):
-        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-            groups.tie(i, j)
-    assert len({groups.root(i) for i in range(len(texts))}) == 5
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert dict(duplicate_groups(docs).collect()) == {i: groups.root(i) for i in range(len(texts))}
-
-
 def test_one_of_each_group_stays_with_all_columns(spark):
     docs = documents(spark)
-    kept = without_duplicates(docs)
-    assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
+    stay = without_near_copies(docs)
+    assert stay.columns == docs.columns
+    ids = [r.doc_id for r in stay.collect()]
     assert 0 in ids and not {1, 2, 5} & set(ids) and 4 in ids and None in ids
-    assert without_duplicates(nothing(spark)).count() == 0
+    assert without_near_copies(nothing(spark)).count() == 0
+
+
+def test_rows_and_not_ids_are_copies(spark):
+    rows = [(5, "a b c d e"), (5, "v w x y z"), (1, "A b c  d e"), (2, "v W x y z"), (2, "v W x y z"), (3, "v w x y z"),
+            (None, "k l m n o"), (4, "p q r s t"), (4, "p q r s u"), (None, "p q r s t")]
+    docs = spark.createDataFrame([(t, i, "h") for i, t in rows], "text string, doc_id long, h1 string")
+    got = sorted(((r.doc_id, r.text, r.h1) for r in without_near_copies(docs).collect()), key=str)
+    assert got == sorted([(1, "A b c  d e", "h"), (2, "v W x y z", "h"), (None, "k l m n o", "h"), (4, "p q r s t", "h"), (4, "p q r s u", "h")], key=str)
 
 
 def test_search_equals_brute_force(spark):

@@ -258,7 +258,7 @@ def benchmark_matches(
     inserted, dropped or exchanged. start and end are characters of the text. Null or empty texts
     hold nothing; items of fewer than eight words (nulls too) are too common to be told from
     ordinary text and are not searched. Of equally good places the first counts. Rows that repeat an id
-    are searched on their own; a null id stays null. Other columns are not read.
+    are searched on their own; a null id stays null. Items without an id are not searched. Other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))

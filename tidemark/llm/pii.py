@@ -23,7 +23,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: The base forms, written so that no run of characters is read twice.
 FORMS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -31,7 +31,7 @@ FORMS = {
 SIGNS = {"email": "@", "ip": ".", "phone": "+"}
 #: Tokens with a digit that may be identifiers of any kind.
 UNSEEN = r"(?<![A-Za-z0-9@._%+()/-])[A-Za-z@._%+()/-]*+[0-9][A-Za-z0-9@._%+()/-]*+"
-IP_PARTS = r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}$"
+IP_PARTS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}$"
 #: Two words before a match; what stands further off is not looked at.
 LEFT_CHARS, LEFT = 80, r"(\S+\s+\S+)\s+\S{0,3}$"
 #: A pattern needs so many different known identifiers, and so large a share of its occurrences.
@@ -41,13 +41,40 @@ ACCEPT, DIGITS = 0.6, 4
 #: Patterns, each within LEFT_CHARS, that are broadcast at most; more are counted by a shuffle.
 BROADCAST = 100_000
 
+#: Matches whose places are summed up together.
+BLOCK = 128
+
 SPAN = "struct<start:int,end:int,value:string,left:string>"
 
 
-def _places(text: Column, form: str, matches: Column) -> Column:
-    """The matches with start and end in code points and the end of what stands before each."""
+def _pairs(text: Column, form: str, matches: Column) -> Column:
+    """Each match with what stands between the match before and it."""
     between = F.slice(F.split(text, form, -1), F.lit(1), F.size(matches))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    pairs = F.arrays_zip(between.alias("before"), matches.alias("match"))
+    return F.when(F.size(matches) > 0, pairs).otherwise(F.array().cast("array<struct<before:string,match:string>>"))
+
+
+def _places(pairs: Column) -> Column:
+    """The matches with start and end in code points and the end of what stands before each.
+
+    Places are summed up over blocks of matches first, then within each block, so very many matches stay linear.
+    """
+
+    def block(first: Column) -> Column:
+        return F.slice(pairs, first + 1, F.lit(BLOCK))
+
+    def passed(at: Column, pair: Column) -> Column:
+        return at + F.length(pair["before"]) + F.length(pair["match"])
+
+    def next_block(done: Column, first: Column) -> Column:
+        start = F.struct(first.alias("first"), done["at"].alias("at"))
+        return F.struct(F.aggregate(block(first), done["at"], passed).alias("at"), F.array_append(done["out"], start).alias("out"))
+
+    none = F.array().cast("array<struct<first:int,at:int>>")
+    starts = F.aggregate(
+        F.sequence(F.lit(0), F.size(pairs) - 1, F.lit(BLOCK)), F.struct(F.lit(0).alias("at"), none.alias("out")), next_block,
+        lambda done: done["out"],
+    )
 
     def step(done: Column, pair: Column) -> Column:
         begin = done["at"] + F.length(pair["before"])
@@ -58,9 +85,12 @@ def _places(text: Column, form: str, matches: Column) -> Column:
         )
         return F.struct(end.alias("at"), F.array_append(done["out"], span).alias("out"))
 
-    pairs = F.arrays_zip(between.alias("before"), matches.alias("match"))
-    placed = F.aggregate(pairs, start, step, lambda done: done["out"])
-    return F.when(F.size(matches) > 0, placed).otherwise(F.array().cast(f"array<{SPAN}>"))
+    def spans(start: Column) -> Column:
+        empty = F.struct(start["at"].alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        return F.aggregate(block(start["first"]), empty, step, lambda done: done["out"])
+
+    placed = F.flatten(F.transform(starts, spans))
+    return F.when(F.size(pairs) > 0, placed).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def _digits(value: Column) -> Column:
@@ -98,13 +128,16 @@ def base_spans(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         seen[kind] = F.when(F.contains("text", F.lit(sign)), seen[kind]).otherwise(none)
     seen["unseen"] = F.regexp_extract_all("text", F.lit(UNSEEN), F.lit(0))
     rows = rows.withColumns({f"_{kind}": matches for kind, matches in seen.items()})
+    holds = {kind: partial(_holds, kind) for kind in KINDS} | {"unseen": lambda value: F.length(_digits(value)) >= DIGITS}
 
-    def spans(kind: str, form: str, holds) -> Column:
-        placed = F.filter(_places(F.col("text"), form, F.col(f"_{kind}")), lambda span: holds(span["value"]))
-        return F.when(F.exists(f"_{kind}", holds), placed).otherwise(F.array().cast(f"array<{SPAN}>")).alias(kind)
+    def spans(kind: str) -> Column:
+        placed = F.filter(_places(F.col(f"_{kind}")), lambda span: holds[kind](span["value"]))
+        return F.when(F.size(f"_{kind}") > 0, placed).otherwise(F.array().cast(f"array<{SPAN}>")).alias(kind)
 
-    base = [spans(kind, FORMS[kind], partial(_holds, kind)) for kind in KINDS]
-    unseen = spans("unseen", UNSEEN, lambda value: F.length(_digits(value)) >= DIGITS)
+    some = {kind: F.when(F.exists(f"_{kind}", holds[kind]), F.col(f"_{kind}")).otherwise(none) for kind in seen}
+    rows = rows.withColumns({f"_{kind}": _pairs(F.col("text"), form, some[kind]) for kind, form in (FORMS | {"unseen": UNSEEN}).items()})
+    base = [spans(kind) for kind in KINDS]
+    unseen = spans("unseen")
     return rows.select(*keep, *base, unseen)
 
 

@@ -34,6 +34,7 @@ PART_BYTES, PART_WORDS = 4_000_000, 200_000
 WORD = re.compile(rb"[^ \t-\r]+")
 
 FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+KEYED = pa.schema([*FINGERPRINTS, ("h1", pa.int64()), ("h2", pa.int64())])
 
 
 def shingles(text: str | None, words: int) -> Iterator[list[bytes]]:
@@ -68,20 +69,30 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per input row, the fingerprint as a signed long."""
+def row_key(doc_id: str, text: str) -> list[Column]:
+    """Columns h1 and h2: 128 bits that name a row by its id and text; a null text counts as empty."""
+    parts = [F.col(doc_id).cast("long"), F.coalesce(F.col(text).cast("string"), F.lit(""))]
+    return [F.xxhash64(*parts).alias("h1"), F.xxhash64(*reversed(parts), F.lit(1)).alias("h2")]
+
+
+def fingerprints(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, keyed: bool = False
+) -> DataFrame:
+    """(doc_id, fp): one row per input row, the fingerprint as a signed long; with :func:`row_key` if ``keyed``."""
+    schema = KEYED if keyed else FINGERPRINTS
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Rows(FINGERPRINTS)
-        for id_, text_ in rows_of(batches):
+        out = Rows(schema)
+        for id_, text_, *key in rows_of(batches):
             fp = fingerprint(text_, words)
-            out.add(id_, fp - (1 << BITS) if fp >> (BITS - 1) else fp)
+            out.add(id_, fp - (1 << BITS) if fp >> (BITS - 1) else fp, *key)
             if out.full():
                 yield out.take()
         yield out.take()
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(of, "doc_id long, fp long")
+    columns = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")]
+    rows = docs.select(*columns, *(row_key(doc_id, text) if keyed else []))
+    return rows.mapInArrow(of, ", ".join(f"{name} long" for name in schema.names))
 
 
 def segments(radius: int) -> list[tuple[int, int]]:
@@ -159,3 +170,24 @@ def simhash_components(
     lookup = named.join(smallest, "component").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(lookup, "fp").select("doc_id", hexed, "component_id")
+
+
+def without_near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 2
+) -> DataFrame:
+    """``docs``, all columns, with one row of each component of :func:`simhash_components`.
+
+    The row with the smallest id stays, null ids last; among texts that share this id, the one whose
+    hash comes first; of rows equal in id and text, any one. So rows count, not ids: a clean text stays
+    when another text of the same id is a copy. Texts without words (null too) form one group with
+    fingerprint zero. An empty table stays empty; extra columns keep their names and values.
+    """
+    rows = kept(fingerprints(docs, doc_id, text, words, keyed=True))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2")
+    first = kept(rows.groupBy("fp").agg(F.min(order).alias("first")))
+    components = kept(connected_components(near_links(first.select("fp"), radius)))
+    named = first.join(components, first["fp"] == components["node"], "left")
+    named = named.select("first", F.coalesce("component", "fp").alias("component"))
+    heads = named.groupBy("component").agg(F.min("first").alias("head")).select("head.h1", "head.h2")
+    whole = docs.select(F.struct("*").alias("doc"), *row_key(doc_id, text))
+    return whole.join(heads, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("doc.*")
