@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import benchmark_matches
-from tidemark.llm.near_dedup import without_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import mask_personal_data
 from tidemark.llm.quality import fit_quality, passing
+from tidemark.llm.simhash import without_near_copies
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,14 +19,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies, the one with the smallest id."""
-    return without_duplicates(docs)
+    """One document of each group of copies and near copies, the one with the smallest id: SimHash of three words, two bits."""
+    return without_near_copies(docs, words=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
-    leaks = benchmark_matches(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["_leak"], "left_anti")
+    """Rows that hold no benchmark passage; rows are told apart by id and text, so null and repeated ids do no harm."""
+    row = F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit("")))
+    named = docs.select(row.alias("row"), "text")
+    items = table(spark, sf_dir, "benchmark").select(F.coalesce("item_id", F.lit(-1)).alias("item_id"), "text")
+    leaks = benchmark_matches(named, items, doc_id="row").select("doc_id").distinct()
+    whole = docs.select(F.struct("*").alias("doc"), row.alias("row"))
+    return whole.join(leaks, whole["row"] == leaks["doc_id"], "left_anti").select("doc.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +51,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: The stages learn and pack, which SQL cannot express; tests compare them with brute force.
+#: The stages learn and pack, which SQL cannot express; tests compare each with brute force on its own input.
 ORACLE_SQL = None
 
 
