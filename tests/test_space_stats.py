@@ -198,6 +198,80 @@ def test_version_of_the_day(frame, tables):
     ]
 
 
+def exchanges(df):
+    """Shuffles by a key in the plan, reused ones not counted again."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_runs_and_their_ends_take_three_shuffles(internal, external):
+    values = ["tablesize_kb", "tbl_rows"]
+    inside, outside = internal((1, "s.t", "1", "1")), external((1, "x.e", 1))
+    assert exchanges(stats.size_islands(inside, "schema_table", values)) <= 3
+    assert exchanges(stats.size_intervals(inside, values)) <= 3
+    assert exchanges(stats.size_intervals(outside, ["tablesize_kb"])) <= 3
+
+
+def test_random_ends_equal_the_next_later_start(spark, external):
+    rng = random.Random(8)
+    data = [(rng.randrange(1, 25), rng.choice(["x.a", "x.b", None]), rng.choice([1, 2, 3, None])) for _ in range(200)]
+    snapshots = external(*data)
+    islands = stats.size_islands(snapshots, "schema_table", ["tablesize_kb"]).collect()
+    starts = {}
+    for r in islands:
+        starts.setdefault(r.schema_table, set()).add(r.start_date)
+    plain = [
+        (r.schema_table, r.tablesize_kb, r.start_date,
+         min((s for s in starts[r.schema_table] if s > r.start_date), default=SIZE_END + dt.timedelta(days=1)) - dt.timedelta(days=1))
+        for r in islands
+    ]
+    key = lambda r: tuple((v is not None, v) for v in r)
+    got = rows(stats.size_intervals(snapshots, ["tablesize_kb"]), "schema_table", "tablesize_kb", "start_date", "end_date")
+    assert got == sorted(plain, key=key)
+
+
+def test_a_sweep_equals_the_join_on_between(spark, frame):
+    rng = random.Random(12)
+    cuts = {t: sorted(rng.sample(range(1, 28), 6)) for t in "abc"}
+    intervals = []
+    for t, starts in cuts.items():
+        for first, following in zip(starts, [*starts[1:], 31], strict=True):
+            last = rng.randrange(first, following)  # some gaps
+            intervals += [(t, DAY[first], DAY[last], rng.randrange(9)) for _ in range(rng.randrange(1, 4))]
+    intervals += [(None, DAY[1], DAY[30], 5), ("a", None, DAY[30], 5), ("d", DAY[3], DAY[2], 5)]
+    changes = frame("schema_table string, start_date date, end_date date, v int", *intervals)
+    spine = frame("schema_table string, date date, w int", *((t, day, n % 2) for t in ("a", "b", "d", "e", None) for n, day in DAY.items() for _ in range(1 + n % 2)))
+    spine.createOrReplaceTempView("spine")
+    changes.createOrReplaceTempView("changes")
+    found = stats.carry_forward(spine, {"one": changes, "two": changes.where("v < 5")})
+    for name, limit in (("one", 9), ("two", 5)):
+        plain = spark.sql(f"""SELECT s.*, v FROM spine s LEFT JOIN changes c ON s.schema_table = c.schema_table
+                              AND s.date BETWEEN c.start_date AND c.end_date AND v < {limit}""")
+        got = found.select("schema_table", "date", "w", F.explode_outer(name).alias("x")).select("schema_table", "date", "w", "x.v")
+        assert rows(got) == rows(plain)
+    assert exchanges(found) == 1
+
+
+def test_overlapping_intervals_are_refused(frame):
+    spine = frame("schema_table string, date date", ("a", DAY[1]), ("a", DAY[9]))
+    changes = frame("schema_table string, start_date date, end_date date, v int", ("a", DAY[1], DAY[5], 1), ("a", DAY[5], DAY[9], 2))
+    with pytest.raises(Exception, match="intervals of size overlap: a"):
+        stats.carry_forward(spine, {"size": changes}).collect()
+
+
+def test_shuffles_of_the_daily_tables(frame, tables, used, internal, external, excludes, calendar):
+    spine = stats.calendar_spine(stats.object_lifespan(tables(("s.t", 1, None)), NOON(9)), calendar, NOON(9))
+    sizes = [stats.size_intervals(internal((1, "s.t", "1", "1")), ["tablesize_kb", "tbl_rows"]), stats.size_intervals(external((1, "x.e", 1)), ["tablesize_kb"])]
+    assert exchanges(stats.forward_fill_sizes(spine, *sizes)) <= 8
+    assert exchanges(stats.asof_scd_join(spine, tables(("s.t", 1, None)))) <= 8
+    whole = stats.table_stats_byday(
+        tables(("s.t", 1, None)), used(("s.t", 1, 1, "u", 3, 1)), internal((1, "s.t", "1", "1")), external((1, "x.e", 1)), excludes(("x.f", "w", NOON(1))),
+        calendar, NOON(9),
+    )
+    assert exchanges(whole) <= 13
+    assert "Expand" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
 def test_reasons_are_dropped_once_a_size_is_known(excludes, external):
     reasons = excludes(
         ("x.a", "old", NOON(1)), ("x.a", "new", NOON(2)), ("x.a", "new", NOON(2)), ("x.b", "sized", NOON(1)), (None, "none", NOON(1))

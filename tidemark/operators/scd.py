@@ -74,17 +74,14 @@ def scd2_apply(
 def interval_close(df: DataFrame, key: str, start_col: str, open_end: dt.date, end_col: str = "end_date") -> DataFrame:
     """Add ``end_col``: the day before the key's next later start, or ``open_end``.
 
-    Rows that share a start share its end. The next start is found on distinct (key, start) pairs,
-    of which a key has at most one per day, however many rows it has.
+    Rows that share a start share its end. The starts of a key are a set that no number of rows makes longer than the
+    calendar; a row's end is read from what follows its start in it, so ``df`` is evaluated and shuffled once.
     """
-    by_key = Window.partitionBy("_key").orderBy("_start")
-    ends = (
-        df.select(F.col(key).alias("_key"), F.col(start_col).alias("_start"))
-        .distinct()
-        .withColumn(end_col, F.coalesce(F.date_sub(F.lead("_start").over(by_key), 1), day(open_end)))
-    )
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(start_col).eqNullSafe(F.col("_start"))
-    return df.join(ends, same).drop("_key", "_start")
+    number = F.unix_date(start_col)  # a row without a start comes first, so the first start closes it
+    starts = F.sort_array(F.collect_set(number).over(Window.partitionBy(key)))
+    following = F.get("_starts", F.coalesce(F.array_position("_starts", number), F.lit(0)).cast("int"))
+    end = F.coalesce(F.date_sub(F.date_from_unix_date(following), 1), day(open_end))
+    return df.withColumn("_starts", starts).withColumn(end_col, end).drop("_starts")
 
 
 def history_lookup(tables: DataFrame, schema_table: str) -> DataFrame:

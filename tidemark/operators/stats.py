@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import average_whole, day
 from tidemark.operators.joins import lookup_join, not_in
-from tidemark.operators.scd import interval_close
 from tidemark.sources.fixed_values import (
     COLLECTION_START,
     EXTERNAL_ID,
@@ -58,58 +57,118 @@ def calendar_spine(
     )
 
 
+#: A missing snapshot day as a number; it comes before all others.
+NO_DAY = -(2**31)
+
+
+def _runs(snapshots: DataFrame, key: str, value_cols: list[str], date_col: str) -> DataFrame:
+    """A row per run: ``_key``, ``_start`` (a day's number), the key and the values.
+
+    One aggregate packs the days of each (key, values) into a sorted list, another those of each key, which is attached
+    once. A day starts a run unless the key's day before it is in the same list. No list is longer than the calendar,
+    however many rows a key has, and ``_key`` is what the result is partitioned by.
+    """
+    days = snapshots.select(
+        F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")).alias("_key"),
+        F.coalesce(F.unix_date(date_col), F.lit(NO_DAY)).alias("_day"),
+        key,
+        *value_cols,
+    )
+    packed = days.groupBy("_key", key, *value_cols).agg(F.sort_array(F.collect_set("_day")).alias("_days"))
+    whole = days.groupBy("_key").agg(F.sort_array(F.collect_set("_day")).alias("_all"))
+
+    def starts(day_: Column, n: Column) -> Column:
+        before = F.get("_all", F.array_position("_all", day_).cast("int") - 2)
+        return (n == 0) | (before != F.get("_days", n - 1))
+
+    found = packed.join(whole, "_key").withColumn("_start", F.explode(F.filter("_days", starts)))
+    return found.select("_key", "_start", key, *value_cols)
+
+
+def _date(number: Column) -> Column:
+    return F.when(number != NO_DAY, F.date_from_unix_date(number))
+
+
 def size_islands(
     snapshots: DataFrame, key: str, value_cols: list[str], date_col: str = "snapshot_date"
 ) -> DataFrame:
-    """Runs of consecutive snapshots with equal values: the first day of each run.
+    """Runs of consecutive snapshots with equal values: the first day of each run."""
+    runs = _runs(snapshots, key, value_cols, date_col)
+    return runs.select(_date(F.col("_start")).alias("start_date"), key, *value_cols)
 
-    A run is known by the difference of two ranks: the day's among all days of the key, and among
-    the key's days with these values. Both are taken over distinct days, so a group of either
-    window is no longer than the calendar, however many rows the key has.
+
+def size_intervals(
+    snapshots: DataFrame, value_cols: list[str], key: str = "schema_table", date_col: str = "snapshot_date"
+) -> DataFrame:
+    """Runs of equal size with their validity, open at the end: ``interval_close`` of ``size_islands``.
+
+    The runs are partitioned by the key already, so the set of its starts costs no further shuffle.
     """
-    days = snapshots.select(F.col(key).alias("_key"), F.col(date_col).alias("_day")).distinct()
-    ranked_days = days.withColumn("_all", F.row_number().over(Window.partitionBy("_key").orderBy("_day")))
-    same_values = Window.partitionBy(key, *value_cols).orderBy(date_col)
-    ranked_values = (
-        snapshots.select(key, *value_cols, date_col).distinct().withColumn("_same", F.row_number().over(same_values))
+    runs = _runs(snapshots, key, value_cols, date_col)
+    starts = F.sort_array(F.collect_set("_start").over(Window.partitionBy("_key")))
+    following = F.get("_starts", F.array_position("_starts", F.col("_start")).cast("int"))
+    return runs.withColumn("_starts", starts).select(
+        _date(F.col("_start")).alias("start_date"),
+        key,
+        *value_cols,
+        F.coalesce(F.date_sub(F.date_from_unix_date(following), 1), day(SIZE_OPEN_END)).alias("end_date"),
     )
-    same_day = F.col(key).eqNullSafe(F.col("_key")) & F.col(date_col).eqNullSafe(F.col("_day"))
-    return (
-        ranked_values.join(ranked_days, same_day)
-        .groupBy(key, *value_cols, (F.col("_all") - F.col("_same")).alias("_run"))
-        .agg(F.min(date_col).alias("start_date"))
-        .select("start_date", key, *value_cols)
-    )
-
 
-def size_intervals(snapshots: DataFrame, value_cols: list[str]) -> DataFrame:
-    """Runs of equal size with their validity, open at the end."""
-    return interval_close(size_islands(snapshots, "schema_table", value_cols), "schema_table", "start_date", SIZE_OPEN_END)
 
+def carry_forward(
+    spine: DataFrame, changes: dict[str, DataFrame], key: str = "schema_table", date_col: str = "date"
+) -> DataFrame:
+    """``spine`` (key, day, ..) with an array column per entry of ``changes``: the rows valid on that day.
 
-def _span(spine: DataFrame) -> tuple[dt.date, dt.date]:
-    row = spine.agg(F.min("date"), F.max("date")).first()
-    return (row[0], row[1]) if row[0] else (SIZE_OPEN_END, SIZE_OPEN_END)
+    ``changes`` are intervals (key, start_date, end_date, further columns). Days and changes of all kinds go through
+    one sort per key, in which each day takes the newest change of each kind; nothing unfolds into days and
+    no two sides are joined. Intervals of one key may share their start, all of these are carried; such that start on different
+    days must not overlap, or the job fails. A key's rows meet in one task: days of the calendar and its changes.
+    """
+    at = F.unix_date(date_col) * 2
+    rows = spine.withColumn("_at", at + 1)
+    for name, intervals in changes.items():
+        carried = [c for c in intervals.columns if c not in (key, "start_date")]
+        dated = F.col(key).isNotNull() & F.col("start_date").isNotNull() & F.col("end_date").isNotNull()
+        events = intervals.where(dated).select(
+            key, F.col("start_date").alias(date_col), F.struct(*carried).alias(f"_{name}")
+        )
+        rows = rows.unionByName(events.withColumn("_at", at), allowMissingColumns=True)
+    by_key = Window.partitionBy(key).orderBy("_at")
+    same_start, until, before = (
+        by_key.rangeBetween(*frame) for frame in ((0, 0), (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1))
+    )
 
+    def newest(name: str, frame) -> Column:
+        return F.last(F.when(F.col(f"_{name}").isNotNull(), F.col(name)), ignorenulls=True).over(frame)
 
-def _by_day(intervals: DataFrame, span: tuple[dt.date, dt.date]) -> DataFrame:
-    """One row per interval and day within ``span``, so that joins by day are equi-joins."""
-    first, last = day(span[0]), day(span[1])
-    return (
-        intervals.where(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
-        .withColumn("date", _days(F.greatest("start_date", first), F.least("end_date", last)))
-        .drop("start_date", "end_date")
+    # one Window operator for the lists, one for what is carried; both over the same sort
+    rows = rows.withColumns({name: F.collect_list(f"_{name}").over(same_start) for name in changes})
+    rows = rows.withColumns(
+        {f"_until_{name}": newest(name, until) for name in changes} | {f"_before_{name}": newest(name, before) for name in changes}
     )
 
+    is_day = F.col("_at") % 2 == 1
+    for name in changes:
+        late = F.col(f"_{name}").isNotNull() & F.exists(f"_before_{name}", lambda v: v["end_date"] >= F.col(date_col))
+        refused = F.raise_error(F.concat(F.lit(f"intervals of {name} overlap: "), F.col(key))).cast("boolean")
+        is_day = F.when(late, refused).otherwise(is_day)
+    valid = {name: F.filter(f"_until_{name}", lambda v: v["end_date"] >= F.col(date_col)) for name in changes}
+    return rows.where(is_day).withColumns(valid).select(*spine.columns, *changes)
 
-def asof_scd_join(
-    spine: DataFrame,
-    tables: DataFrame,
-    span: tuple[dt.date, dt.date] | None = None,
-    also: tuple[str, ...] = (),
-) -> DataFrame:
+
+def asof_scd_join(spine: DataFrame, tables: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """The version of each table that was valid on each day of the spine, with the columns ``also``."""
-    return spine.join(_by_day(_attributes(tables, also), span or _span(spine)), KEY)
+    found = carry_forward(spine, {"version": _attributes(tables, also)})
+    return _unfolded(found, "version", F.explode)
+
+
+def _unfolded(rows: DataFrame, name: str, explode, names: dict[str, str] | None = None) -> DataFrame:
+    """``rows`` with the fields of the array column ``name``, without the end of their validity."""
+    fields = rows.schema[name].dataType.elementType.names
+    others = [c for c in rows.columns if c != name]
+    out = rows.select(*others, explode(name).alias("_v"))
+    return out.select(*others, *[F.col(f"_v.{f}").alias((names or {}).get(f, f)) for f in fields if f != "end_date"])
 
 
 def _attributes(tables: DataFrame, also: tuple[str, ...]) -> DataFrame:
@@ -130,62 +189,53 @@ def _attributes(tables: DataFrame, also: tuple[str, ...]) -> DataFrame:
     )
 
 
-def versions_by_day(
-    tables: DataFrame,
-    calendar: DataFrame,
-    run_ts: dt.datetime,
-    min_date: dt.date = COLLECTION_START,
-    also: tuple[str, ...] = (),
-) -> DataFrame:
-    """The spine with the version of each day: ``asof_scd_join(calendar_spine(...), tables)`` in one unfolding.
+def _sizes(internal_intervals: DataFrame, external_intervals: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "inside": internal_intervals.select("schema_table", "start_date", "end_date", F.col("tablesize_kb").cast("double"), "tbl_rows"),
+        "outside": external_intervals.select("schema_table", "start_date", "end_date", F.col("tablesize_kb").cast("double")),
+    }
 
-    Life spans and versions meet per table, before either unfolds, so no day-level rows are joined to each other.
-    """
-    first, last = min_date + dt.timedelta(days=1), last_full_day(run_ts)
-    life = object_lifespan(tables, run_ts).where(F.col("fd").isNotNull() & F.col("ld").isNotNull())
-    alive = life.select("schema_table", "fd", "ld").join(_attributes(tables, also), "schema_table")
-    alive = alive.where(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
-    within = alive.withColumn("start_date", F.greatest("start_date", "fd")).withColumn("end_date", F.least("end_date", "ld"))
-    days = calendar.select("date").where(F.col("date").between(day(first), day(last)))
-    return lookup_join(_by_day(within.drop("fd", "ld"), (first, last)), days, ["date"])
-
-
-def forward_fill_sizes(
-    spine: DataFrame,
-    internal_intervals: DataFrame,
-    external_intervals: DataFrame,
-    span: tuple[dt.date, dt.date] | None = None,
-) -> DataFrame:
+
+def _with_sizes(rows: DataFrame) -> DataFrame:
+    """``rows`` with the arrays ``inside`` and ``outside`` unfolded into the size known on the day."""
+    rows = _unfolded(rows, "inside", F.explode_outer, {"tablesize_kb": "_internal_kb"})
+    rows = _unfolded(rows, "outside", F.explode_outer, {"tablesize_kb": "_external_kb"})
+    return rows.withColumn("tablesize_kb", F.coalesce("_internal_kb", "_external_kb")).drop("_internal_kb", "_external_kb")
+
+
+def forward_fill_sizes(spine: DataFrame, internal_intervals: DataFrame, external_intervals: DataFrame) -> DataFrame:
     """The size known on each day of the spine; NULL before the first snapshot."""
-    span = span or _span(spine)
-    inside = internal_intervals.select(
-        "start_date", "end_date", "schema_table", F.col("tablesize_kb").cast("double").alias("_internal_kb"), "tbl_rows"
-    )
-    outside = external_intervals.select(
-        "start_date", "end_date", "schema_table", F.col("tablesize_kb").cast("double").alias("_external_kb")
-    )
-    filled = spine.join(_by_day(inside, span), KEY, "left").join(_by_day(outside, span), KEY, "left")
-    return filled.withColumn("tablesize_kb", F.coalesce("_internal_kb", "_external_kb")).drop(
-        "_internal_kb", "_external_kb"
-    )
+    return _with_sizes(carry_forward(spine, _sizes(internal_intervals, external_intervals)))
 
 
 def daily_usage(query_deps: DataFrame) -> DataFrame:
-    """Usage per table and day of start."""
-    return (
+    """Usage per table and day of start.
+
+    A pair of table and query occurs once (``query_dependencies``), so queries are counted, and users are the rows of a first
+    aggregate by table, day and user. Its sums are whole numbers, so nothing depends on their order.
+    """
+    by_user = (
         query_deps.select(
             "schema_table", F.to_date("starttime").alias("date"), "query_id", "usename", "aborted", "duration_second"
         )
-        .groupBy(*KEY)
+        .groupBy(*KEY, "usename")
         .agg(
-            F.count_distinct("query_id").alias("cnt_query"),
-            F.count_distinct("usename").alias("cntd_usename"),
-            F.sum("aborted").alias("sum_aborted"),
-            F.min("duration_second").alias("min_query_duration_sec"),
-            F.max("duration_second").alias("max_query_duration_sec"),
-            average_whole(F.sum("duration_second"), F.count("duration_second")).alias("avg_query_duration_sec"),
+            F.count("query_id").alias("queries"),
+            F.sum("aborted").alias("aborted"),
+            F.min("duration_second").alias("shortest"),
+            F.max("duration_second").alias("longest"),
+            F.sum("duration_second").alias("seconds"),
+            F.count("duration_second").alias("timed"),
         )
     )
+    return by_user.groupBy(*KEY).agg(
+        F.sum("queries").alias("cnt_query"),
+        F.count("usename").alias("cntd_usename"),
+        F.sum("aborted").alias("sum_aborted"),
+        F.min("shortest").alias("min_query_duration_sec"),
+        F.max("longest").alias("max_query_duration_sec"),
+        average_whole(F.sum("seconds"), F.sum("timed")).alias("avg_query_duration_sec"),
+    )
 
 
 def daily_usage_join(spine: DataFrame, query_deps: DataFrame, repeats: str | None = None) -> DataFrame:
@@ -207,8 +257,8 @@ def daily_usage_join(spine: DataFrame, query_deps: DataFrame, repeats: str | Non
 def size_excludes_latest(excludes: DataFrame, external_space: DataFrame) -> DataFrame:
     """The newest reasons why an external table has no size; tables that have one drop out."""
     open_ = not_in(excludes, external_space, "schema_table")
-    newest = open_.groupBy("schema_table").agg(F.max("created_at").alias("created_at"))
-    return open_.join(newest, ["schema_table", "created_at"]).select("schema_table", "exclude_reason")
+    newest = F.max("created_at").over(Window.partitionBy("schema_table"))
+    return open_.withColumn("_newest", newest).where(F.col("created_at") == F.col("_newest")).select("schema_table", "exclude_reason")
 
 
 def table_stats_byday(
@@ -225,19 +275,14 @@ def table_stats_byday(
 
     The queries are summed up per table and day before they meet the spine. Spine rows that fall
     into one group (a table with two equal exclusion reasons, say) are counted first, because
-    the sum of aborted queries counts a query once for each of them. All joins by day and the
-    grouping share the key (table, day), so the versions are partitioned by it once; reasons and life spans join
-    the table versions before those unfold into days.
+    the sum of aborted queries counts a query once for each of them. Versions and sizes of both kinds reach the
+    days of a table in one sweep, whose partitioning also serves the grouping.
     """
-    span = (min_date + dt.timedelta(days=1), last_full_day(run_ts))
     reasons = size_excludes_latest(excludes, external_space)
-    described = versions_by_day(tables.join(reasons, "schema_table", "left"), calendar, run_ts, min_date, ("exclude_reason",))
-    sized = forward_fill_sizes(
-        described,
-        size_intervals(internal_space, ["tablesize_kb", "tbl_rows"]),
-        size_intervals(external_space, ["tablesize_kb"]),
-        span,
-    )
+    versions = _attributes(tables.join(reasons, "schema_table", "left"), ("exclude_reason",))
+    spine = calendar_spine(object_lifespan(tables, run_ts), calendar, run_ts, min_date).select("schema_table", "date")
+    sizes = _sizes(size_intervals(internal_space, ["tablesize_kb", "tbl_rows"]), size_intervals(external_space, ["tablesize_kb"]))
+    sized = _with_sizes(_unfolded(carry_forward(spine, {"version": versions} | sizes), "version", F.explode))
     grouped = sized.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_repeats"))
     used = daily_usage_join(grouped, query_deps, "_repeats")
     return used.select(

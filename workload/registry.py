@@ -240,8 +240,7 @@ def q_size_islands(i: Inputs) -> DataFrame:
 
 @query
 def q_interval_close(i: Inputs) -> DataFrame:
-    islands = stats.size_islands(i["external_space"], "schema_table", ["tablesize_kb"])
-    return scd.interval_close(islands, "schema_table", "start_date", stats.SIZE_OPEN_END)
+    return stats.size_intervals(i["external_space"], ["tablesize_kb"])
 
 
 @query
