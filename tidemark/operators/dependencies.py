@@ -129,7 +129,7 @@ def dependency_lookup(edges: DataFrame, view: str) -> DataFrame:
     )
 
 
-def _named_targets(tables: DataFrame, object_deps: DataFrame) -> DataFrame:
+def named_targets(tables: DataFrame, object_deps: DataFrame) -> DataFrame:
     """What each name that a query may use stands for: a table itself, a view its source tables."""
     own = tables.where("most_recent").select(
         F.col("schema_table").alias("name"), F.col("schema_table").alias("schema_table")
@@ -145,7 +145,7 @@ def query_text_match(queries: DataFrame, tables: DataFrame, object_deps: DataFra
 
     The length is that of the name found, for a view that of the view's name.
     """
-    targets = _named_targets(tables, object_deps)
+    targets = named_targets(tables, object_deps)
     matches = contains_join(targets, queries, "name", "querytxt", ["query_id"])
     return (
         lookup_join(matches, targets, ["name"])
@@ -165,13 +165,18 @@ def query_dependencies(matches: DataFrame, tables: DataFrame, queries: DataFrame
     return narrow.join(queries.select(*QUERY_COLUMNS), "query_id").select(*current.columns, *QUERY_COLUMNS)
 
 
-def attribute_queries(queries: DataFrame, tables: DataFrame, object_deps: DataFrame) -> DataFrame:
-    """Query log to :func:`query_dependencies` in one go.
+def attribute_matches(matches: DataFrame, queries: DataFrame, tables: DataFrame, object_deps: DataFrame) -> DataFrame:
+    """Names found in queries (query_id, name, match_location, name_length) to :func:`query_dependencies`.
 
     The longest name per place is chosen before views unfold into their tables, so the choice runs
     over names, not over edges. Everything up to the join with the log is partitioned by query.
     """
-    targets = _named_targets(tables, object_deps)
-    names = longest_match(contains_join(targets, queries, "name", "querytxt", ["query_id"]), ["query_id"])
-    used = lookup_join(names.select("query_id", "name"), targets, ["name"])
+    names = longest_match(matches, ["query_id"])
+    used = lookup_join(names.select("query_id", "name"), named_targets(tables, object_deps), ["name"])
     return query_dependencies(used, tables, queries)
+
+
+def attribute_queries(queries: DataFrame, tables: DataFrame, object_deps: DataFrame) -> DataFrame:
+    """Query log to :func:`query_dependencies` in one go; a run that knows earlier ones takes ``increments.matches_after``."""
+    matches = contains_join(named_targets(tables, object_deps), queries, "name", "querytxt", ["query_id"])
+    return attribute_matches(matches, queries, tables, object_deps)

@@ -13,13 +13,15 @@ from tidemark.functions import moment
 from tidemark.operators import dependencies as deps
 from tidemark.operators import space, stats
 from tidemark.operators.catalog import catalog_union, table_creation_times
+from tidemark.operators.increments import matches_after
 from tidemark.operators.ingest import ingest_incremental
 from tidemark.operators.scd import scd2_apply
 from tidemark.session import durable
 from tidemark.sources import empty_target, read_target
+from tidemark.sources.readers import STATES
 
 # The tables that a run reads back.
-STATE = ["sql_queries", "tables", "internal_table_space", "spectrum_table_space"]
+STATE = ["sql_queries", "tables", "query_matches", "matched_names", "internal_table_space", "spectrum_table_space"]
 RELOADED = ["object_dependencies", "query_dependencies", "table_stats_byday"]
 
 
@@ -69,7 +71,10 @@ def run_all(
         branches = [pool.submit(branch) for branch in (log, catalog, sizes)]
         new_queries, (tables, objects), (internal_space, new_external) = [branch.result() for branch in branches]
     queries = state["sql_queries"].unionByName(new_queries)
-    used = keep(deps.attribute_queries(queries, tables, objects))
+    found = matches_after(
+        deps.named_targets(tables, objects), state["sql_queries"], new_queries, state["query_matches"], state["matched_names"], run_ts
+    )
+    used = keep(deps.attribute_matches(found.current, queries, tables, objects))
     new_internal = space.internal_snapshot(inputs["table_space_source"], run_ts)
     external_space = state["spectrum_table_space"].unionByName(new_external)
 
@@ -84,6 +89,9 @@ def run_all(
         "tables": tables,
         "object_dependencies": objects,
         "query_dependencies": used,
+        "new_query_matches": found.added,
+        "query_matches": state["query_matches"].unionByName(found.added),
+        "matched_names": found.names,
         "new_internal_table_space": new_internal,
         "internal_table_space": internal_space,
         "new_spectrum_table_space": new_external,
@@ -102,10 +110,12 @@ def read_state(spark: SparkSession, root: str, stored: bool = True) -> dict[str,
 def store_run(results: dict[str, DataFrame], root: str, run_ts: dt.datetime, state: dict[str, DataFrame]) -> None:
     """Write one run's results: the log and the snapshots grow, the other tables are replaced."""
     replace = space.holds_today_last(state["internal_table_space"], run_ts.date())
-    sinks.store_state(results["tables"], f"{root}/tables", run_ts)
+    for name in STATES:
+        sinks.store_state(results[name], f"{root}/{name}", run_ts)
     for name in RELOADED:
         sinks.truncate_and_load(results[name], f"{root}/{name}")
     write_sizes = sinks.replace_days if replace else sinks.append_days
     write_sizes(results["new_internal_table_space"], f"{root}/internal_table_space")
     sinks.append_days(results["new_spectrum_table_space"], f"{root}/spectrum_table_space")
+    sinks.append_rows(results["new_query_matches"], f"{root}/query_matches")
     sinks.append_rows(results["new_sql_queries"], f"{root}/sql_queries")

@@ -60,6 +60,8 @@ TARGETS: dict[str, str] = {
         "querytxt string, usename string, duration_second bigint, starttime timestamp_ntz, endtime timestamp_ntz, "
         "aborted int"
     ),
+    "query_matches": "query_id bigint, name string, match_location int, name_length int, matched_at timestamp_ntz",
+    "matched_names": "name string, since timestamp_ntz",
     "internal_table_space": (
         "snapshot_date date, table_id int, schema_table string, tablesize_kb decimal(25,1), pct_used decimal(10,4), "
         "empty bigint, unsorted decimal(5,2), stats_off decimal(5,2), tbl_rows decimal(38,0), "

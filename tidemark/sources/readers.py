@@ -8,6 +8,8 @@ from tidemark.sources.contracts import INPUTS, TARGETS
 
 #: The partition column that names a stored state by its run.
 STAMP = "run_stamp"
+#: Tables of which each run stores its full state beside the older ones.
+STATES = ("tables", "matched_names")
 
 
 def read_inputs(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
@@ -18,10 +20,10 @@ def read_inputs(spark: SparkSession, root: str, names: list[str] | None = None)
 def read_target(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read a result table written by :mod:`tidemark.sinks`.
 
-    The table history is stored one full state per run; only the newest one is read.
+    Of the tables in :data:`STATES`, stored as one full state per run, only the newest one is read.
     """
     path = f"{root}/{name}"
-    if name == "tables":
+    if name in STATES:
         path = f"{path}/{state_folders(spark, path)[-1]}"
     return spark.read.schema(TARGETS[name]).parquet(path)
 
