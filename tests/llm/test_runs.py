@@ -1,0 +1,261 @@
+"""Periodic runs, ranked search and near vectors against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+from fractions import Fraction
+from itertools import combinations
+from math import floor, log
+
+import numpy as np
+import pytest
+
+from tests.compare import connect, difference
+from tests.llm.helpers import TESTDATA, documents, nothing
+from tests.llm.test_links import Groups
+from tidemark.llm import lexical, oracle, periodic, pivots, registry
+from tidemark.llm.common import table
+
+# --- periodic runs ----------------------------------------------------------------------------------------
+
+
+def plain_runs(words):
+    """(start, length, period) of all runs, by trying every period."""
+    found = {}
+    for q in range(1, len(words) // 3 + 1):
+        start = None
+        for i in range(q, len(words) + 1):
+            if i < len(words) and words[i] == words[i - q]:
+                start = i - q if start is None else start
+            elif start is not None:
+                if i - start >= max(24, 3 * q) and (start, i) not in found:
+                    found[start, i] = q
+                start = None
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def fibonacci(n, a="a", b="b"):
+    word, last = a, b
+    while len(word) < n:
+        word, last = word + last, word
+    return list(word[:n])
+
+
+def sequences():
+    rng = random.Random(3)
+    yield from ([], ["a"], ["a"] * 23, ["a"] * 24, ["a"] * 500, ["a", "b"] * 12, ["a", "b"] * 11 + ["a"], fibonacci(400), fibonacci(90) * 7)
+    for size in (1, 2, 3, 5, 7, 8, 9, 15, 16, 17, 31, 32, 33, 64, 100):
+        base = [rng.choice("ab") for _ in range(size)]
+        yield [rng.choice("ab") for _ in range(rng.randrange(40))] + base * (2 + 24 // size) + base[: rng.randrange(size)] + base * 2 + ["x"]
+        yield (["a"] * size + ["b"]) * 4 + ["a"] * rng.randrange(2 * size)
+    for n in range(120):
+        words = []
+        while len(words) < 200:
+            words += [rng.choice("abc"[: 1 + n % 3]) for _ in range(rng.randrange(1, 12))] * rng.choice((1, 1, 2, 3, 5, 9))
+        yield words
+
+
+def test_runs_by_every_period():
+    lots = list(sequences())
+    for words in lots:
+        flat = np.array([*map(ord, words), 0], np.int64)
+        got = [(s, e - s, q) for s, e, q in periodic.maximal_runs(flat).tolist()]
+        assert got == plain_runs(words), "".join(words)
+    with pytest.raises(ValueError, match="not searched"):
+        periodic.maximal_runs(np.array([0]), least=10)
+
+
+def test_the_suffix_array_and_the_wavelet_tree_by_definition():
+    rng = np.random.default_rng(1)
+    words = np.append(rng.integers(1, 4, 300), 0)
+    order, ranks = periodic.sorted_stretches(words)
+    assert order.tolist() == sorted(range(301), key=lambda i: words[i:].tolist())
+    for k, rank in enumerate(ranks):
+        for a, b in rng.integers(0, 301, (200, 2)):
+            same = words[a : a + 2**k].tolist() == words[b : b + 2**k].tolist()
+            assert (rank[a] == rank[b]) == same
+    tree = periodic.WaveletTree(order)
+    for low, high, bound in np.sort(rng.integers(0, 302, (300, 3)), axis=1)[:, [0, 1, 2]]:
+        part = np.sort(order[low:high])
+        below = tree.below(np.array([low]), np.array([high]), np.array([min(bound, 301)]))[0]
+        assert below == (part < bound).sum()
+        if below < len(part):
+            assert tree.smallest(np.array([low]), np.array([high]), np.array([below]))[0] == part[below]
+
+
+def plain_digest(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = plain_runs(words)
+    inside = {i for s, length, q in runs for i in range(s + q, s + length)}
+    collapsed = " ".join(w for i, w in enumerate(words) if i not in inside)
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None, None, None))
+    milli = None if best[0] is None else 1000 * best[1] // best[2]
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    return (len(runs), *best, milli, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(collapsed.encode()).hexdigest())
+
+
+def digests(df):
+    return [(r.doc_id, (r.n_runs, r.start, r.length, r.period, r.exponent_milli, r.runs_sha256, r.collapsed_sha256)) for r in df.collect()]
+
+
+def test_runs_of_documents(spark):
+    docs = table(spark, TESTDATA, "documents").where("length(text) < 9000")
+    want = {r.doc_id: plain_digest(r.doc_id, r.text) for r in docs.collect()}
+    got = dict(digests(registry.run_digests(periodic.periodic_runs(docs, prepare=registry.repeated_tail))))
+    assert got == want and sum(w[0] > 0 for w in want.values()) > 5
+
+
+def test_awkward_texts_have_runs(spark, monkeypatch):
+    docs = documents(spark)
+    want = Counter((r.doc_id, plain_digest(r.doc_id, r.text)) for r in docs.collect() if len(r.text or "") < 9000)
+    got = Counter(digests(periodic.run_digests(periodic.periodic_runs(docs, prepare=registry.repeated_tail))))
+    assert got >= want and sum(got.values()) == docs.count()
+    assert periodic.periodic_runs(docs).where("doc_id = 12").first().runs == [(0, 4000, 1)]
+    assert periodic.periodic_runs(nothing(spark)).count() == 0
+
+
+# --- ranked search ----------------------------------------------------------------------------------------
+
+
+def plain_ranks(docs, items, k=50):
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    bags = [(d, Counter(terms(t))) for d, t in docs]
+    bags = [(d, b, sum(b.values())) for d, b in bags if b]
+    total, length = len(bags), sum(n for _, _, n in bags)
+    df = Counter(t for _, b, _ in bags for t in b)
+    found = Counter()
+    for item, text in set(items):
+        scored = []
+        for d, b, n in bags:
+            m = 50 + (50 * n * total) // length
+            score = sum(
+                floor(1000 * log((2 * total + 2) / (2 * df[t] + 1))) * ((1000000000 * b[t]) // (1000 * b[t] + 20 * m)) for t in set(terms(text)) if t in b
+            )
+            scored += [(-score, d is None, d)] if score > 0 else []
+        found.update((item, n, d, -s) for n, (s, _, d) in enumerate(sorted(scored, key=lambda s: (s[0], s[1], s[2] or 0))[:k], 1))
+    return found
+
+
+def ranks(df):
+    return Counter((r.item_id, r.rank, r.doc_id, r.score) for r in df.collect())
+
+
+def test_search_by_definition(spark, monkeypatch):
+    docs, items = table(spark, TESTDATA, "documents"), table(spark, TESTDATA, "benchmark")
+    lots = [[(r[0], r[1]) for r in df.select(i, "text").collect()] for df, i in ((docs, "doc_id"), (items, "item_id"))]
+    want = plain_ranks(*lots)
+    assert ranks(lexical.ranked_search(docs, items)) == want
+    for name, value in (("BLOCK", 3), ("POSTINGS", 500), ("TERMS_AT_ONCE", 200), ("FIRST", 2), ("ITEM_BYTES", 30_000)):
+        monkeypatch.setattr(lexical, name, value)
+    assert ranks(lexical.ranked_search(docs, items, k=7)) == plain_ranks(*lots, k=7)
+
+
+def test_search_by_sql(spark):
+    assert difference(registry.op11_lexical(spark, TESTDATA), connect(TESTDATA), oracle.OP11)[1] == ""
+
+
+def test_awkward_texts_are_ranked(spark):
+    docs = documents(spark)
+    items = [(1, "Hello A it's"), (1, "Hello A it's"), (1, "emoji 日本語"), (None, "x1 no ID"), (2, None), (3, "!!!"), (4, "unknownterm")]
+    items = spark.createDataFrame([(*i, "z") for i in items], "item_id long, text string, doc_id string")
+    lots = [[(r[0], r[1]) for r in df.select(i, "text").collect()] for df, i in ((docs, "doc_id"), (items, "item_id"))]
+    assert ranks(lexical.ranked_search(docs, items, k=4)) == plain_ranks(*lots, k=4)
+    assert lexical.ranked_search(nothing(spark), items).count() == lexical.ranked_search(docs, items.where("false")).count() == 0
+
+
+def test_many_equal_documents_spread_over_blocks(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same words here', concat('word', id % 7, ' here')) as text")
+    index = lexical.stratified_index(lexical.forward_rows(docs, {b"same": 0, b"here": 1}, "doc_id", "text"), 4000, 9000)
+    assert {len(r.docs) <= 2 * lexical.BLOCK for r in index.collect()} == {True} and index.count() >= 8
+    items = spark.createDataFrame([(9, "same here")], "item_id long, text string")
+    assert [r.doc_id for r in lexical.ranked_search(docs, items).orderBy("rank").collect()] == list(range(0, 150, 3))
+
+
+# --- near vectors -----------------------------------------------------------------------------------------
+
+
+def plain_near(rows, threshold=0.95):
+    """(vec_id, n_links, component_id, kept) by all pairs."""
+    fine = [v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in rows]
+    width = max([len(v) for (_, v), f in zip(rows, fine, strict=True) if f], default=1)
+    unit = {n: np.array([*rows[n][1], *[0] * (width - len(rows[n][1]))]) / np.abs(rows[n][1]).max() for n in range(len(rows)) if fine[n]}
+    unit = {n: v / np.linalg.norm(v) for n, v in unit.items()}
+    links, groups = Counter(), Groups()
+    for a, b in combinations(unit, 2):
+        if unit[a] @ unit[b] >= threshold:
+            links.update((a, b))
+            groups.tie(a, b)
+    names = {}
+    for n, (id_, _) in enumerate(rows):
+        if id_ is not None:
+            names[groups.root(n)] = min(id_, names.get(groups.root(n), id_))
+    found = [(id_, links[n], names.get(groups.root(n)), id_ == names.get(groups.root(n))) for n, (id_, _) in enumerate(rows)]
+    return Counter(found)
+
+
+def near(spark, rows):
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, node int, copies string")
+    return Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in pivots.near_vectors(df).collect())
+
+
+def clustered(rng, centres, members, noise, width=32):
+    for c in rng.normal(size=(centres, width)):
+        yield from (c + noise * rng.normal(size=(members, width))).tolist()
+
+
+@pytest.mark.parametrize("tile", [64, 4096])
+def test_links_of_clusters_by_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(pivots, "TILE", tile)
+    rng = np.random.default_rng(tile)
+    vectors = [*clustered(rng, 40, 6, 0.12), *clustered(rng, 1, 300, 0.05), *rng.normal(size=(300, 32)).tolist()]
+    vectors += vectors[:20] * 3 + [[4 * x for x in v] for v in vectors[20:30]]  # exact and scaled copies
+    rows = list(enumerate(vectors))
+    rng.shuffle(rows)
+    rows = [(int(i) * 7, list(map(float, v))) for i, v in rows]
+    assert near(spark, rows) == plain_near(rows)
+
+
+@pytest.mark.parametrize("width", [16, 64, 512])
+@pytest.mark.parametrize("most", [100, 2000])
+def test_recall_just_above_the_threshold(width, most):
+    rng = np.random.default_rng(5)
+    base, off = rng.normal(size=(2, 2000, width))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    off -= (off * base).sum(axis=1, keepdims=True) * base
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    other = 0.951 * base + np.sqrt(1 - 0.951**2) * off
+    reference = pivots.spread_pivots(rng.normal(size=(2 * most, width)), most)
+    a, b = pivots.nearest_pivots(base, reference), pivots.nearest_pivots(other, reference)
+    met = (a == b[:, :1]).any(axis=1)
+    shared = np.array([len(set(x) & set(y)) for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+    assert (met & (shared >= pivots.SHARED)).mean() > 0.9
+
+
+def test_shared_pivots_are_counted():
+    rng = np.random.default_rng(2)
+    a, b = ([rng.choice(30, 8, replace=False) for _ in range(n)] for n in (50, 70))
+    want = [[len(set(x) & set(y)) for y in b] for x in a]
+    assert pivots.shared_pivots(np.array(a), np.array(b)).tolist() == want
+
+
+def test_awkward_vectors_link(spark):
+    rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [float("inf"), 1.0]), (7, [1e300, 1e300]),
+            (8, [1e-300, 1e-300]), (9, [1.0]), (10, [2.0, 0.0]), (10, [2.0, -0.0]), (11, [-1.0, 0.0]), (None, [-2.0, 0.0]),
+            (None, [0.0, -3.0]), (12, [0.0, -0.0]), (4, [1.0, -1.0])]
+    assert near(spark, rows) == plain_near(rows)
+    assert near(spark, rows[:3]) == plain_near(rows[:3])
+    assert near(spark, []) == Counter()
+
+
+def test_near_vectors_by_sql(spark):
+    assert difference(registry.op13_near_vectors(spark, TESTDATA), connect(TESTDATA), oracle.OP13)[1] == ""
