@@ -8,9 +8,9 @@ from tests.compare import connect, difference
 from tests.conftest import rows
 from tidemark.plans import new_state, read_state, run_all, store_run
 from tidemark.session import checkpoint_root, durable, intermediates
-from tidemark.sinks import store_state
-from tidemark.sources import TARGETS, read_inputs, read_target
-from tidemark.sources.readers import state_folders
+from tidemark import sinks
+from tidemark.sources import TARGETS, empty_target, read_inputs, read_target
+from tidemark.sources.manifests import RUNS, names_in, newest, published
 from workload import oracle, registry
 from workload.inputs import Inputs
 
@@ -75,13 +75,94 @@ def test_a_cluster_needs_a_shared_folder(tmp_path):
     assert checkpoint_root(session("hdfs://nn/shared/")) == "hdfs://nn/shared"
 
 
-def test_older_states_go_when_so_many_are_retained(spark, tmp_path):
-    path = f"{tmp_path}/tables"
+# Rows of a small run: its number, in the first column of each table that takes it.
+WRITTEN = ("tables", "matched_names", "object_dependencies", "query_dependencies", "table_stats_byday", "new_sql_queries",
+           "new_query_matches", "new_internal_table_space", "new_spectrum_table_space")
+
+
+def small_run(spark, root, day, n):
+    """Store a run whose tables hold one row each, marked by ``n``."""
+    results = {}
+    for name in WRITTEN:
+        ddl = TARGETS[name.removeprefix("new_")]
+        values = {"snapshot_date": dt.date(2024, 1, day), "table_id": n, "query_id": n, "schema_table": f"s.t{n}", "name": f"n{n}"}
+        row = tuple(values.get(c.split(" ")[0]) for c in ddl.replace("decimal(", "").split(", "))
+        results[name] = spark.createDataFrame([row[: len(empty_target(spark, name.removeprefix("new_")).columns)]], ddl)
+    return sinks_of(results, root, day, read_state(spark, root))
+
+
+def sinks_of(results, root, day, state):
+    return store_run(results, root, dt.datetime(2024, 1, day, 6), state)
+
+
+def small_tables(spark, root):
+    marks = {"sql_queries": "query_id", "query_matches": "query_id", "matched_names": "name", "query_dependencies": "query_id"}
+    return {name: rows(read_target(spark, root, name), marks.get(name, "table_id")) for name in TARGETS}
+
+
+def test_a_run_that_fails_at_any_write_leaves_the_run_before(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    assert all(not lot for lot in small_tables(spark, root).values())
+    small_run(spark, root, 1, 1)
+    before = small_tables(spark, root)
+    assert set(map(tuple, before.values())) == {((1,),), (("n1",),)}
+    write, manifest = sinks.write_folder, sinks.write_manifest
+    for broken in range(len(WRITTEN) + 1):
+        count = iter(range(100))
+
+        def fails(*args):
+            if next(count) == broken:
+                raise OSError("disk full")
+            return write(*args)
+
+        monkeypatch.setattr(sinks, "write_folder", fails)
+        if broken == len(WRITTEN):  # the manifest itself is cut short
+
+            def cut_short(spark, root, base, stamp, tables):
+                (tmp_path / RUNS / "00000002.json").write_text('{"number": 2, "stamp": "2024')
+                raise OSError("disk full")
+
+            monkeypatch.setattr(sinks, "write_manifest", cut_short)
+        with pytest.raises(OSError, match="disk full"):
+            small_run(spark, root, 2, 2)
+        assert small_tables(spark, root) == before and newest(spark, root).number == 1
+    monkeypatch.setattr(sinks, "write_folder", write)
+    monkeypatch.setattr(sinks, "write_manifest", manifest)
+    assert small_run(spark, root, 2, 2).number == 3  # the number of the broken one is not used again
+    after = small_tables(spark, root)
+    assert after["sql_queries"] == after["query_matches"] == after["internal_table_space"] == [(1,), (2,)]
+    assert after["tables"] == after["table_stats_byday"] == [(2,)] and after["matched_names"] == [("n2",)]
+
+
+def test_a_second_run_of_a_day_replaces_its_snapshot_only(spark, tmp_path):
+    root = str(tmp_path)
+    for day, n in ((1, 1), (2, 2), (2, 3)):
+        small_run(spark, root, day, n)
+    found = small_tables(spark, root)
+    assert found["internal_table_space"] == [(1,), (3,)] and found["spectrum_table_space"] == [(1,), (2,), (3,)]
+
+
+def test_of_two_runs_on_the_same_state_one_is_published(spark, tmp_path):
+    root = str(tmp_path)
+    small_run(spark, root, 1, 1)
+    state = read_state(spark, root)
+    small_run(spark, root, 2, 2)
+    results = {name: empty_target(spark, name.removeprefix("new_")) for name in WRITTEN}
+    with pytest.raises(RuntimeError, match="another run"):
+        sinks_of(results, root, 3, state)
+    assert [run.number for run in published(spark, root, 9)] == [2, 1]
+
+
+def test_what_no_retained_run_lists_is_removed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
     for n in range(1, 5):
-        state = spark.createDataFrame([(n,)], "table_id int")
-        store_state(state, path, dt.datetime(2024, 1, n), retain=2 if n == 4 else None)
-    assert state_folders(spark, path) == ["run_stamp=20240103T000000000000", "run_stamp=20240104T000000000000"]
-    assert rows(read_target(spark, str(tmp_path), "tables"), "table_id") == [(4,)]
+        small_run(spark, root, n, n)
+    before = small_tables(spark, root)
+    assert len(names_in(spark, f"{root}/tables")) == 4
+    assert sinks.remove_unlisted(spark, root, retain=2)
+    assert [len(names_in(spark, f"{root}/{t}")) for t in ("tables", "sql_queries", RUNS)] == [2, 4, 2]
+    assert small_tables(spark, root) == before and sinks.remove_unlisted(spark, root, retain=2) == []
+    assert rows(read_target(spark, root, "tables", published(spark, root, 2)[1]), "table_id") == [(3,)]
 
 
 def test_stored_runs_continue_each_other_and_a_rerun_changes_nothing(spark, tmp_path, named_folder):

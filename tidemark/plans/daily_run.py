@@ -18,16 +18,24 @@ from tidemark.operators.ingest import ingest_incremental
 from tidemark.operators.scd import scd2_apply
 from tidemark.session import durable
 from tidemark.sources import empty_target, read_target
-from tidemark.sources.readers import STATES
+from tidemark.sources.manifests import NOTHING, Published, newest
 
 # The tables that a run reads back.
 STATE = ["sql_queries", "tables", "query_matches", "matched_names", "internal_table_space", "spectrum_table_space"]
-RELOADED = ["object_dependencies", "query_dependencies", "table_stats_byday"]
+# The tables that a run adds rows to, and those that it replaces as a whole.
+APPENDED = ["sql_queries", "query_matches"]
+RELOADED = ["tables", "matched_names", "object_dependencies", "query_dependencies", "table_stats_byday"]
 
 
-def new_state(spark: SparkSession) -> dict[str, DataFrame]:
+class State(dict[str, DataFrame]):
+    """The tables that a run reads back, all as one published run left them."""
+
+    run: Published = NOTHING
+
+
+def new_state(spark: SparkSession) -> State:
     """The state before the first run."""
-    return {name: empty_target(spark, name) for name in STATE}
+    return State({name: empty_target(spark, name) for name in STATE})
 
 
 def run_all(
@@ -102,20 +110,28 @@ def run_all(
     }
 
 
-def read_state(spark: SparkSession, root: str, stored: bool = True) -> dict[str, DataFrame]:
-    """The state that :func:`store_run` left under ``root``; ``stored=False`` before the first run."""
-    return {name: read_target(spark, root, name) for name in STATE} if stored else new_state(spark)
+def read_state(spark: SparkSession, root: str, stored: bool = True) -> State:
+    """The state that the newest run published under ``root``; ``stored=False`` before the first run."""
+    if not stored:
+        return new_state(spark)
+    run = newest(spark, root)
+    state = State({name: read_target(spark, root, name, run) for name in STATE})
+    state.run = run
+    return state
 
 
-def store_run(results: dict[str, DataFrame], root: str, run_ts: dt.datetime, state: dict[str, DataFrame]) -> None:
-    """Write one run's results: the log and the snapshots grow, the other tables are replaced."""
-    replace = space.holds_today_last(state["internal_table_space"], run_ts.date())
-    for name in STATES:
-        sinks.store_state(results[name], f"{root}/{name}", run_ts)
+def store_run(results: dict[str, DataFrame], root: str, run_ts: dt.datetime, state: State) -> Published:
+    """Write one run's results and publish them as one: the log and the snapshots grow, the other tables are replaced.
+
+    Readers see all of the run or, if any write fails, still the run before; it can then be repeated as it is.
+    """
+    loads = sinks.Loads(results["tables"].sparkSession, root, state.run, run_ts)
+    today = run_ts.date()
     for name in RELOADED:
-        sinks.truncate_and_load(results[name], f"{root}/{name}")
-    write_sizes = sinks.replace_days if replace else sinks.append_days
-    write_sizes(results["new_internal_table_space"], f"{root}/internal_table_space")
-    sinks.append_days(results["new_spectrum_table_space"], f"{root}/spectrum_table_space")
-    sinks.append_rows(results["new_query_matches"], f"{root}/query_matches")
-    sinks.append_rows(results["new_sql_queries"], f"{root}/sql_queries")
+        loads.replace(name, results[name])
+    for name in APPENDED:
+        loads.append(name, results[f"new_{name}"])
+    replace = space.holds_today_last(state["internal_table_space"], today)
+    loads.append_day("internal_table_space", results["new_internal_table_space"], "snapshot_date", today, replace)
+    loads.append("spectrum_table_space", results["new_spectrum_table_space"], "snapshot_date")
+    return loads.publish()

@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.contracts import INPUTS, TARGETS
-
-#: The partition column that names a stored state by its run.
-STAMP = "run_stamp"
-#: Tables of which each run stores its full state beside the older ones.
-STATES = ("tables", "matched_names")
+from tidemark.sources.contracts import INPUTS, TARGETS, empty_target
+from tidemark.sources.manifests import RUN_COLUMN, Published, newest
 
 
 def read_inputs(spark: SparkSession, root: str, names: list[str] | None = None) -> dict[str, DataFrame]:
@@ -17,19 +13,10 @@ def read_inputs(spark: SparkSession, root: str, names: list[str] | None = None)
     return {name: spark.read.schema(INPUTS[name]).parquet(f"{root}/{name}") for name in names or INPUTS}
 
 
-def read_target(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read a result table written by :mod:`tidemark.sinks`.
-
-    Of the tables in :data:`STATES`, stored as one full state per run, only the newest one is read.
-    """
-    path = f"{root}/{name}"
-    if name in STATES:
-        path = f"{path}/{state_folders(spark, path)[-1]}"
-    return spark.read.schema(TARGETS[name]).parquet(path)
-
-
-def state_folders(spark: SparkSession, path: str) -> list[str]:
-    """The folders of the states stored under ``path``, oldest first; no file is opened."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    return sorted(name for f in found if (name := f.getPath().getName()).startswith(f"{STAMP}="))
+def read_target(spark: SparkSession, root: str, name: str, run: Published | None = None) -> DataFrame:
+    """A result table as the newest published run, or ``run``, left it; empty before the first."""
+    folders = (run or newest(spark, root)).tables.get(name, [])
+    if not folders:
+        return empty_target(spark, name)
+    reader = spark.read.schema(TARGETS[name]).option("basePath", f"{root}/{name}")
+    return reader.parquet(*[f"{root}/{folder.path}" for folder in folders]).drop(RUN_COLUMN)
