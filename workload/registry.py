@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import day, moment
-from tidemark.operators import catalog, checks, ingest, matching, numbering, scd, space, stats
+from tidemark.operators import catalog, checks, grams, ingest, matching, numbering, scd, space, stats
 from tidemark.operators import dependencies as deps
 from tidemark.plans import new_state, read_state, run_all, store_run
 from tidemark.session import checkpoint_root, durable, intermediates
@@ -171,6 +171,13 @@ def q_contains_join(i: Inputs) -> DataFrame:
     return matching.contains_join(i["hosts"], i["pages"], "host", "html", ["page_id"])
 
 
+@query
+def q_contains_join_plain(i: Inputs) -> DataFrame:
+    current = i["tables"].where("most_recent")
+    names = current.select(F.explode(F.array("table_name", "schema_name")).alias("name"))
+    return grams.contains_join_plain(names, i["sql_queries"], "name", "querytxt", ["query_id"])
+
+
 @query
 def q_query_text_match(i: Inputs) -> DataFrame:
     return deps.query_text_match(i["sql_queries"], i["tables"], i["object_deps"])
