@@ -66,6 +66,24 @@ library_of = {name: library(name) for name in ("byte_bpe_50k.json", "word_bpe_49
 word_ids = WordIds(None)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from(" '\n\u0e01\u0627\u0938\u094d\U0001f600\u200d7٣"), max_size=60))
+def test_texts_of_all_scripts_are_cut_and_never_encoded_whole(text):
+    cutter = PreTokens(None)
+    base, pieces = cutter.of(text)
+    assert base == 0 and "".join(pieces) == text
+    assert sum(cutter.count(pieces)) == len(ids(library_of["byte_bpe_50k.json"], text))
+
+
+def test_no_key_gathers_a_row_of_every_document(spark):
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('word ', id) as text")
+    plan = token_counts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(piece" in plan
+    texts = ["สวัสดี ครับ", "مرحبا بالعالم ٣", "नमस्ते दुनिया", "😀 ok 👩‍👩‍👧", "<|endoftext|> สวัสดี<|endoftext|>"]
+    got = {r.doc_id: r.n_tokens for r in token_counts(documents(spark, texts)).collect() if r.doc_id is not None and r.doc_id != 3}
+    assert got == {i: len(ids(library("byte_bpe_50k.json"), t)) for i, t in enumerate(texts) if i != 3}
+
+
 def test_byte_spelling():
     pre = library_of["byte_bpe_50k.json"].pre_tokenizer
     for text in ("a", " a", "é", " ½", "\n\n", "日"):

@@ -57,17 +57,21 @@ class PreTokens:
         self.special = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
 
     def of(self, text: str) -> tuple[int, list[str]]:
-        """Tokens counted right away (special strings, texts of rare scripts), and the pre-tokens."""
+        """Tokens counted right away (special strings), and the pre-tokens."""
         if LATIN.fullmatch(text):
             cut = self.LATIN.findall
         elif PLAIN.fullmatch(text):
             cut = self.pattern.findall
         else:
-            return len(self.tokenizer.encode(text, add_special_tokens=False).ids), []
+            cut = self.pieces
         if self.special is None or not self.special.search(text):
             return 0, cut(text)
         return len(self.special.findall(text)), [piece for part in self.special.split(text) for piece in cut(part)]
 
+    def pieces(self, text: str) -> list[str]:
+        """The pre-tokens of a text in any script, cut by the library itself."""
+        return [text[start:end] for _, (start, end) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
     def count(self, pieces: list[str]) -> list[int]:
         return [len(self.tokenizer.model.tokenize(byte_level(piece))) for piece in pieces]
 
@@ -151,7 +155,9 @@ def token_counts(
 
     parts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     parts = parts.mapInArrow(second_pass, "_row long, doc_id long, n_bytes long, base long, piece string, n long")
-    tokens = parts.join(counts.select("piece", "tokens"), "piece", "left")
+    # a document's own row meets no piece: a key of its own keeps these rows from sharing one partition
+    key = F.coalesce("piece", F.concat(F.lit("\u0000"), F.col("_row").cast("string"))).alias("key")
+    tokens = parts.select("_row", "doc_id", "n_bytes", "base", "n", key).join(counts.select(F.col("piece").alias("key"), "tokens"), "key", "left")
     return (
         tokens.groupBy("_row")
         .agg(
