@@ -134,8 +134,10 @@ def base_spans(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         placed = F.filter(_places(F.col(f"_{kind}")), lambda span: holds[kind](span["value"]))
         return F.when(F.size(f"_{kind}") > 0, placed).otherwise(F.array().cast(f"array<{SPAN}>")).alias(kind)
 
-    some = {kind: F.when(F.exists(f"_{kind}", holds[kind]), F.col(f"_{kind}")).otherwise(none) for kind in seen}
-    rows = rows.withColumns({f"_{kind}": _pairs(F.col("text"), form, some[kind]) for kind, form in (FORMS | {"unseen": UNSEEN}).items()})
+    # a step of its own each, so that matches are found and tested once
+    rows = rows.withColumns({f"_{kind}": F.when(F.exists(f"_{kind}", holds[kind]), F.col(f"_{kind}")).otherwise(none) for kind in seen})
+    forms = FORMS | {"unseen": UNSEEN}
+    rows = rows.withColumns({f"_{kind}": _pairs(F.col("text"), form, F.col(f"_{kind}")) for kind, form in forms.items()})
     base = [spans(kind) for kind in KINDS]
     unseen = spans("unseen")
     return rows.select(*keep, *base, unseen)
