@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -11,6 +11,7 @@ import pytest
 import xxhash
 
 from tests.llm.helpers import TESTDATA, documents, nothing
+from tidemark.llm import topk
 from tidemark.llm.common import table
 from tidemark.llm.components import connected_components
 from tidemark.llm.simhash import fingerprint, near_links, simhash_components, without_near_copies
@@ -125,37 +126,44 @@ def test_rows_and_not_ids_are_copies(spark):
     assert got == sorted([(1, "A b c  d e", "h"), (2, "v W x y z", "h"), (None, "k l m n o", "h"), (4, "p q r s t", "h"), (4, "p q r s u", "h")], key=str)
 
 
-def test_search_equals_brute_force(spark):
+@pytest.mark.parametrize(("step", "block"), [(1, 256), (768, 4)])
+def test_search_equals_brute_force(spark, monkeypatch, step, block):
+    monkeypatch.setattr("tidemark.llm.topk.BLOCK", block)
+    monkeypatch.setattr("tidemark.llm.topk.SLICE", 16)
+    monkeypatch.setattr("tidemark.llm.topk.BATCH", 5)
     rng = np.random.default_rng(3)
-    vectors = [(i, rng.normal(0, 0.3, 12).tolist(), "x") for i in range(400)]
+    vectors = [(i * step, rng.normal(0, 0.3, 12).tolist(), "x") for i in range(400)]
     vectors += [(400, None, "x"), (450, [float("nan")] * 12, "x"), (500, [None, 1.0], "x"), (550, [1.0], "x"), (600, [], "x"),
-                (None, [1.0] * 12, "x"), (7, [0.5] * 12, "x"), (650, [float("inf")], "x"), (700, [1e300], "x")]
+                (None, [1.0] * 12, "x"), (7, [0.5] * 12, "x"), (650, [float("inf")], "x"), (700, [1e300], "x"),
+                (50, [0.1] * 12, "x"), (50, [0.9] * 12, "x"), (50, [0.9] * 12, "x")]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, slice string")
     rows = [
         (i, [int(np.floor(np.float64(256) * x)) for x in v])
         for i, v, _ in vectors
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and max(map(abs, v), default=0) < 1e18
     ]
-    want = {}
-    for q, v in rows:
-        if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for i, w in rows if i != q)
-            want[q] = [(i, -s) for s, i in scored[:5]]
-    got = defaultdict(list)
-    for r in top_k(df.where("vec_id is null or vec_id <> 700")).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((r.vec_id, r.score))
+    want = Counter()
+    for n, (q, v) in enumerate(rows):
+        if q % 50 == 0:  # each row asks, and is a candidate of the rows that share its id
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), i) for m, (i, w) in enumerate(rows) if m != n)
+            want.update((q, rank, i, -s) for rank, (s, i) in enumerate(scored[:5], 1))
+    got = Counter((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(df.where("vec_id is null or vec_id <> 700")).collect())
     assert got == want
     assert top_k(df).where("query_id = 700").count() == 5  # beyond double precision, but no failure
     assert top_k(df.where("false")).count() == 0
 
 
+def test_rows_are_sliced_by_order_and_not_by_id(spark):
+    rows = spark.range(0, 40000 * 768, 768).repartition(7).selectExpr("id as vec_id", "array(1L) as weights")
+    found = topk.numbered(rows)
+    assert found.selectExpr("min(row)", "max(row)", "count(distinct row)").first()[:] == (0, 39999, 40000)
+
+
 def test_search_prunes_blocks_and_keeps_results(monkeypatch):
     import pandas as pd
 
-    from tidemark.llm import topk
-
     rng = np.random.default_rng(0)
-    docs = pd.DataFrame({"vec_id": range(1000), "weights": list(rng.integers(-99, 99, (1000, 8)))})
-    queries = pd.DataFrame({"query_id": [0, 500], "weights": list(docs["weights"].iloc[[0, 500]])})
+    docs = pd.DataFrame({"row": range(1000), "vec_id": range(1000), "weights": list(rng.integers(-99, 99, (1000, 8)))})
+    queries = pd.DataFrame({"query_row": [0, 500], "query_id": [0, 500], "weights": list(docs["weights"].iloc[[0, 500]])})
     by_block = topk.search_slice(docs, queries, 5, block=16)
     assert by_block.equals(topk.search_slice(docs, queries, 5, block=1000))
