@@ -3,6 +3,7 @@ import tempfile
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.compare import connect, difference
 from tests.conftest import rows
@@ -64,6 +65,34 @@ def test_nothing_is_left_of_what_a_block_owns(spark, named_folder):
     assert not list(named_folder.rglob("*.parquet"))
 
 
+def test_blocks_at_the_same_time_own_their_results_each(spark, named_folder):
+    import contextvars
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(1) as pool, intermediates(spark) as outer:
+
+        def other():
+            with intermediates(spark) as inner:
+                durable(spark.range(2).toDF("n"))
+            return inner
+
+        mine = durable(spark.range(3).toDF("n"))
+        assert pool.submit(contextvars.copy_context().run, other).result() != outer
+        assert all(outer.rsplit("/", 1)[1] in f for f in mine.inputFiles()) and mine.count() == 3
+
+
+def test_a_write_observes_the_size_of_what_it_writes(spark, named_folder, monkeypatch):
+    from tidemark.operators.joins import fits_broadcast
+    from tidemark.session import measured, no_larger
+
+    kept = durable(spark.createDataFrame([("abc",), (None,)], "v string"), nulls=F.count_if(F.col("v").isNull()))
+    assert measured(kept) == {"bytes": 2 * 32 + 3, "rows": 2, "nulls": 1}
+    assert measured(kept.select("v")) is None and measured(no_larger(kept.select("v"), kept, kept))["bytes"] == 134
+    assert measured(durable(kept.where("false"))) == {"bytes": 0, "rows": 0}
+    monkeypatch.setattr(type(kept), "agg", None)  # no further action
+    assert fits_broadcast(kept)
+
+
 def test_a_cluster_needs_a_shared_folder(tmp_path):
     def session(folder):
         context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: folder)

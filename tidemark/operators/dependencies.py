@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import qualified
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.matching import contains_join, longest_match
+from tidemark.session import no_larger
 from tidemark.sources.fixed_values import (
     EXTERNAL_TABLE,
     INTERNAL_DEPENDENCY,
@@ -81,7 +82,7 @@ def view_text_match(view_defs: DataFrame, tables: DataFrame) -> DataFrame:
     )
     matches = contains_join(external, texts, "src_schema_table", "text", view)
     matches = matches.withColumnsRenamed({"name": "src_schema_table", "name_length": "schema_table_length"})
-    return lookup_join(matches, external, ["src_schema_table"]).select(
+    return lookup_join(matches, no_larger(external, tables), ["src_schema_table"]).select(
         *external.columns,
         F.lit(UNKNOWN_OID).alias("dependent_oid"),
         *view,
@@ -137,7 +138,7 @@ def named_targets(tables: DataFrame, object_deps: DataFrame) -> DataFrame:
     through = object_deps.select(
         F.col("dependent_schema_objectname").alias("name"), F.col("src_schema_table").alias("schema_table")
     )
-    return own.unionByName(through).distinct()
+    return no_larger(own.unionByName(through).distinct(), tables, object_deps)
 
 
 def query_text_match(queries: DataFrame, tables: DataFrame, object_deps: DataFrame) -> DataFrame:
@@ -161,7 +162,7 @@ def query_dependencies(matches: DataFrame, tables: DataFrame, queries: DataFrame
     """
     current = tables.where("most_recent").select("table_name", "schema_name", "schema_table", "objectsrc")
     pairs = matches.select("query_id", "schema_table").distinct()
-    narrow = lookup_join(pairs, current, ["schema_table"])
+    narrow = lookup_join(pairs, no_larger(current, tables), ["schema_table"])
     return narrow.join(queries.select(*QUERY_COLUMNS), "query_id").select(*current.columns, *QUERY_COLUMNS)
 
 

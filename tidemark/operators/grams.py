@@ -14,7 +14,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import broadcast_limit, lookup_join, row_bytes
+from tidemark.operators.joins import broadcast_limit, lookup_join
+from tidemark.session import row_bytes
 
 #: Characters of an anchor; a shorter name is an anchor as a whole.
 ANCHOR = 8

@@ -6,27 +6,22 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
 
-from tidemark.session import durable
+from tidemark.session import durable, measured, row_bytes
 
 BROADCAST_BYTES_CONF = "spark.tidemark.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def row_bytes(df: DataFrame):
-    """Column: a rough upper bound of one row's size in memory."""
-    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
-    fixed = F.lit(16 * (len(df.columns) + 1)).cast("bigint")
-    return reduce(lambda total, c: total + F.coalesce(F.octet_length(c), F.lit(0)), wide, fixed)
-
-
 def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(BROADCAST_BYTES)))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Measure ``df``: one aggregate over it, one row back."""
+    """Whether ``df`` is below the limit: by what its write observed, else by one aggregate over it."""
+    known = measured(df)
+    if known is not None and known["bytes"] <= broadcast_limit(df):
+        return True
     return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= broadcast_limit(df)
 
 
@@ -61,13 +56,11 @@ def not_in(facts: DataFrame, other: DataFrame, column: str, other_column: str |
     An empty ``other`` keeps every row; a NULL in it keeps none; otherwise NULL probes drop out.
     Spark's own null-aware anti join always broadcasts the subquery, whatever its size.
     """
-    values = durable(other.select(F.col(other_column or column).alias(column)).distinct())
-    about = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col(column).isNull()).alias("nulls"),
-        F.sum(row_bytes(values)).alias("bytes"),
-    ).first()
-    if about["n"] == 0:
+    values = durable(
+        other.select(F.col(other_column or column).alias(column)).distinct(), nulls=F.count_if(F.col(column).isNull())
+    )
+    about = measured(values)
+    if about["rows"] == 0:
         return facts
     if about["nulls"]:
         return facts.where(F.lit(False))

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import broadcast_limit, lookup_join, row_bytes
+from tidemark.operators.joins import broadcast_limit, lookup_join
+from tidemark.session import row_bytes
 
 DOT = r"\."
 #: Dots of a text whose places are summed up together; keeps a text with very many dots linear.

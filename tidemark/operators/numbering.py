@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import row_bytes
-from tidemark.session import durable
+from tidemark.session import durable, measured, row_bytes
 
 
 #: Bytes of rows in memory that one sorting task gets.
@@ -15,7 +14,8 @@ PARTITION_BYTES = 256 * 1024 * 1024
 
 def range_partitions(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -> int:
     """The number of partitions to sort ``df`` in: as many as its size needs, the session's number at least."""
-    size = df.agg(F.sum(row_bytes(df))).first()[0] or 0
+    known = measured(df)
+    size = known["bytes"] if known else df.agg(F.sum(row_bytes(df))).first()[0] or 0
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // partition_bytes))
 
 

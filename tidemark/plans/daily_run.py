@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,7 +77,7 @@ def run_all(
 
     # The three do not need each other, and each waits for small jobs of its own.
     with ThreadPoolExecutor(3) as pool:
-        branches = [pool.submit(branch) for branch in (log, catalog, sizes)]
+        branches = [pool.submit(copy_context().run, branch) for branch in (log, catalog, sizes)]
         new_queries, (tables, objects), (internal_space, new_external) = [branch.result() for branch in branches]
     queries = state["sql_queries"].unionByName(new_queries)
     found = matches_after(
