@@ -305,6 +305,26 @@ def test_long_items_are_found_by_any_part(spark):
     assert found_pairs(spark, items, docs) == {(n, n % 20) for n in range(40)}
 
 
+def test_short_items_are_found_word_for_word(spark):
+    rng = random.Random(21)
+    word = lambda: rng.choice(["a", "B", "é"])
+    items = [" ".join(word() for _ in range(n)) for n in (1, 2, 3, 4, 4, 5, 6, 7, 7) for _ in range(4)] + ["a, b! c - d", "...", "x y z w"]
+    texts = [" ".join(word() + rng.choice(["", ",", "."]) for _ in range(rng.randrange(60))) for _ in range(80)] + ["so X: y (z) w!", "x y z", ""]
+    want = set()
+    for i, item in enumerate(items):
+        own = plain_words(item)
+        for d, text in enumerate(texts):
+            words = plain_words(text)
+            at = next((k for k in range(len(words) - len(own) + 1) if words[k : k + len(own)] == own), None)
+            if 4 <= len(own) < 8 and at is not None:
+                want.add((d, i, at))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontamination.benchmark_matches(docs, bench).collect()
+    assert {(r.doc_id, r.item_id, len(plain_words(texts[r.doc_id][: r.start]))) for r in found} == want and len(found) == len(want) > 50
+    assert all(r.edits == 0 and plain_words(texts[r.doc_id][r.start : r.end]) == plain_words(items[r.item_id]) for r in found)
+
+
 def test_awkward_documents_hold_no_leak(spark):
     items = spark.createDataFrame([(1, "one two three four five six seven eight nine"), (2, None), (3, "a"), (None, "a b c d e f g h")], "item_id long, text string")
     docs = documents(spark, [*TEXTS, "x ONE two, three four five six seven eight nine."])

@@ -18,6 +18,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ SAMPLED = 4
 #: By length class: words of a window, its stride, the fewest words of its items, and the repetitions. Simulated with
 #: random edits of EDITS of the words, these find 0.95 of the items at the class's worst length and more of longer ones.
 CLASSES = ((8, 1, 8, 12), (12, 4, 15, 16), (24, 8, 40, 12))
+#: Words of the shortest items that are searched; below the first class they must occur word for word.
+FEWEST_WORDS = 4
 #: Share of an item's words that may be edited.
 EDITS = 0.2
 #: Words of the items that are broadcast at once; a longer benchmark takes several passes.
@@ -208,13 +211,47 @@ class BenchmarkIndex:
             yield number, self.items[item][0], start, end, edits
 
 
+class ShortItems:
+    """Items too short for a window, as exact sequences of words: a table of keys per length, then the words themselves."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        self.lengths: dict[int, tuple[np.ndarray, list[tuple[int, np.ndarray]]]] = {}
+        for n in sorted({len(words) for _, words in items}):
+            own = sorted(((int(self.keys(words, n)[0]), id_, words) for id_, words in items if len(words) == n), key=lambda x: x[:2])
+            self.lengths[n] = np.array([key for key, _, _ in own], np.uint64), [(id_, words) for _, id_, words in own]
+
+    @staticmethod
+    def keys(words: np.ndarray, n: int) -> np.ndarray:
+        """A key of the n words from each place on."""
+        key = np.zeros(max(0, len(words) - n + 1), np.uint64)
+        for i in range(n):
+            key = (key ^ words[i : i + len(key)].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        return key
+
+    def matches(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(text, item, first word, end word, 0) of the first place of each item in each text."""
+        for n, (known, items) in self.lengths.items():
+            keys, seen = self.keys(words, n), set()
+            low = np.searchsorted(known, keys)
+            for start in np.flatnonzero(known[np.minimum(low, len(known) - 1)] == keys).tolist():
+                number = int(np.searchsorted(bounds, start, "right")) - 1
+                for id_, own in items[low[start] : np.searchsorted(known, keys[start], "right")]:
+                    if (number, id_) not in seen and np.array_equal(words[start : start + n], own):
+                        seen.add((number, id_))
+                        first = start - int(bounds[number])
+                        yield number, id_, first, first + n, 0
+
+
 def _scan(docs: DataFrame, items: list[tuple[int, str]], share: float) -> DataFrame:
     numbers = WordNumbers()
     known = [(id_, numbers.of(text or "")) for id_, text in items]
-    shared = docs.sparkSession.sparkContext.broadcast([(id_, words) for id_, words in known if len(words) >= CLASSES[0][0]])
+    shared = docs.sparkSession.sparkContext.broadcast([(id_, words) for id_, words in known if len(words) >= FEWEST_WORDS])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, of, out = BenchmarkIndex(shared.value), WordNumbers(), Rows(HITS)
+        index = BenchmarkIndex([i for i in shared.value if len(i[1]) >= CLASSES[0][0]])
+        short = ShortItems([i for i in shared.value if len(i[1]) < CLASSES[0][0]])
+        of, out = WordNumbers(), Rows(HITS)
         ids: list[int] = []
         texts: list[str] = []
         parts: list[np.ndarray] = []
@@ -224,7 +261,7 @@ def _scan(docs: DataFrame, items: list[tuple[int, str]], share: float) -> DataFr
             bounds = np.cumsum([0, *(len(p) + 1 for p in parts)])
             words = np.concatenate([*(x for p in parts for x in (p, end)), np.full(128, SEPARATOR, np.uint32)])
             spots, whose = [], None
-            for number, item, first, last, edits in index.matches(words, bounds, share):
+            for number, item, first, last, edits in chain(index.matches(words, bounds, share), short.matches(words, bounds)):
                 if number != whose:
                     spots, whose = of.places(texts[number]), number
                 out.add(ids[number], item, spots[first][0], spots[last - 1][1] if last > first else spots[first][0], edits)
@@ -256,8 +293,8 @@ def benchmark_matches(
 
     Words are compared in lower case without punctuation; up to ``share`` of an item's words may be
     inserted, dropped or exchanged. start and end are characters of the text. Null or empty texts
-    hold nothing; items of fewer than eight words (nulls too) are too common to be told from
-    ordinary text and are not searched. Of equally good places the first counts. Rows that repeat an id
+    hold nothing. Items of four to seven words are found as exact sequences of their words; items of fewer words (nulls too) are
+    too common to be told from ordinary text and are not searched. Of equally good places the first counts. Rows that repeat an id
     are searched on their own; a null id stays null. Items without an id are not searched. Other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
