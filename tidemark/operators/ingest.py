@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import moment, seconds_between
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.numbering import global_row_number
+from tidemark.session import durable
 from tidemark.sources.fixed_values import BEGINNING, UNKNOWN_USER
 
 LOG_COLUMNS = ["userid", "querytxt", "starttime", "endtime", "aborted"]
@@ -36,7 +37,7 @@ def ingest_incremental(
     newer = F.col("starttime") > moment(mark["last_starttime"])
     entries = log.select(*LOG_COLUMNS).where(newer)
     if history is not None:
-        entries = entries.unionByName(history.select(*LOG_COLUMNS).where(newer)).distinct()
+        entries = durable(entries.unionByName(history.select(*LOG_COLUMNS).where(newer)).distinct())
     numbered = global_row_number(
         entries, ["starttime", "endtime", "userid", "querytxt", "aborted"], mark["max_query_id"]
     )

@@ -29,14 +29,14 @@ def global_row_number(df: DataFrame, order_cols: list[str], start: int = 0, out:
     The input partition id is the last sort key: it splits a large group of copies over many
     tasks, and unlike a random salt it stays the same when a task is repeated. The ordered rows
     are written out once, because the range bounds come from a sample and must not move between
-    counting and numbering. The input is written out before, so that sampling and sorting
-    do not compute it twice and its size can set the number of partitions.
+    counting and numbering. The input is read for its size, for the sample and for the sort: pass a stored table, or a
+    ``durable`` result if it is costly to compute.
     """
-    spread = durable(df.withColumn("_origin", F.spark_partition_id()))
+    spread = df.withColumn("_origin", F.spark_partition_id())
     keys = [*order_cols, "_origin"]
     # A given number keeps adaptive execution from merging partitions: copies compress so well that
     # many of them look small.
-    parts = range_partitions(spread)
+    parts = range_partitions(df)
     ordered = spread.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     # monotonically_increasing_id is (partition << 33) + row index.
     placed = durable(
