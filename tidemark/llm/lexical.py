@@ -28,7 +28,7 @@ from tidemark.llm.common import kept, rows_of, scratch
 #: Documents and postings of a block of a stratum.
 BLOCK, POSTINGS = 512, 200_000
 #: Bytes of items that travel to the tasks at once; more take further passes.
-ITEM_BYTES = 16_000_000
+ITEM_BYTES = 4_000_000
 #: Distinct terms of items that are scored together.
 TERMS_AT_ONCE = 4096
 #: Blocks that are visited first for each item.
@@ -120,7 +120,7 @@ class Items:
 
     def _close(self, members: list[int], known: set[int], terms: list[np.ndarray], weights: np.ndarray) -> None:
         vocabulary = np.array(sorted(known), np.int32)
-        matrix = np.zeros((len(members), len(vocabulary)))
+        matrix = np.zeros((len(members), len(vocabulary)), np.uint16)  # 1000 ln(2 N + 2) stays far below 2^16
         for row, n in zip(matrix, members, strict=True):
             row[np.searchsorted(vocabulary, terms[n])] = weights[terms[n]]
         self.groups.append((np.array(members, np.int32), vocabulary, matrix))
@@ -141,7 +141,7 @@ class Block:
         at = np.searchsorted(vocabulary, self.terms[self.own])
         at[at == len(vocabulary)] = 0
         known = vocabulary[at] == self.terms[self.own]
-        return matrix[:, at[known]] @ self.impacts[self.own][known]
+        return matrix[:, at[known]].astype(np.float64) @ self.impacts[self.own][known]
 
     def scores(self, vocabulary: np.ndarray, matrix: np.ndarray) -> np.ndarray:
         """items x documents."""
@@ -151,7 +151,7 @@ class Block:
         used, rows = np.unique(at[known], return_inverse=True)
         impacts = np.zeros((len(used), len(self.docs)))
         impacts[rows, self.places[known]] = self.impacts[known]
-        return matrix[:, used] @ impacts
+        return matrix[:, used].astype(np.float64) @ impacts
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
