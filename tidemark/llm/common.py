@@ -39,7 +39,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared checkpoint folder; Spark's cleaner removes the files later."""
+    """``df`` computed once into the shared checkpoint folder.
+
+    The files go once nothing refers to the result, if the session has spark.cleaner.referenceTracking.cleanCheckpoints=true;
+    otherwise they stay until the folder is cleared.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
