@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -334,6 +335,54 @@ def test_awkward_documents_hold_no_leak(spark):
     assert decontamination.benchmark_matches(docs, items.where("false")).count() == 0
 
 
+def plain_fit(rows, languages):
+    """The log-likelihood and shares of a mixture, by expectation maximisation over (count, likelihoods)."""
+    shares = {g: 1 / len(languages) for g in languages}
+    total = sum(n for n, _ in rows)
+    for _ in range(20):
+        gained = dict.fromkeys(languages, 0.0)
+        for n, chance in rows:
+            whole = sum(shares[g] * chance[g] for g in languages)
+            for g in languages:
+                gained[g] += n * shares[g] * chance[g] / whole
+        shares = {g: gained[g] / total for g in languages}
+    return sum(n * math.log(sum(shares[g] * chance[g] for g in languages)) for n, chance in rows), shares
+
+
+def plain_mixture(counts, text):
+    """The languages of a text and their shares from the n-gram counts of each language, in plain Python."""
+    sums = {g: sum(own.values()) + 0.5 * 65536 for g, own in counts.items()}
+    rows = [(int(n), {g: (own[b] + 0.5) / sums[g] for g, own in counts.items()}) for b, n in zip(*ngrams(text), strict=True)]
+    price = 3 * math.log(max(2.0, sum(n for n, _ in rows)))
+    first = max(counts, key=lambda g: sum(n * math.log(chance[g]) for n, chance in rows))
+    best, shares = plain_fit(rows, [first])
+    of_all = plain_fit(rows, list(counts))[1]
+    chosen = [first]
+    for g in sorted((g for g in counts if g != first), key=lambda g: -of_all[g]):
+        value, trial = plain_fit(rows, [*chosen, g])
+        if value - best <= price:
+            break
+        best, shares, chosen = value, trial, [*chosen, g]
+    return shares
+
+
+def test_mixtures_equal_a_plain_computation(spark):
+    docs = table(spark, TESTDATA, "documents")
+    counts = {}
+    for r in docs.where("lang is not null and text is not null").collect():
+        if zlib.crc32(str(r.doc_id).encode()) % 5:
+            own = counts.setdefault(r.lang, Counter())
+            own.update({int(b): int(n) for b, n in zip(*ngrams(r.text), strict=True)})
+    texts = [r.text[:3000] for r in docs.orderBy("doc_id").collect() if any(map(str.isalpha, r.text or ""))][:40]
+    texts += [texts[i] + " " + texts[j] for i, j in ((0, 1), (2, 5), (3, 9), (4, 11), (6, 7))]  # mixed
+    model = fit_languages(docs)
+    for text in texts:
+        names, shares = model.mixture(text)
+        want = plain_mixture(counts, text)
+        assert set(names) == set(want)
+        assert all(abs(s - want[g]) < 0.02 for g, s in zip(names, shares, strict=True))
+
+
 # --- quality and the pipeline -----------------------------------------------------------------------------
 
 
@@ -413,6 +462,37 @@ def awkward_corpus(spark):
     return docs.unionByName(extra.select([extra[f.name].cast(f.dataType) for f in docs.schema]))
 
 
+def direct_score(network, text):
+    """Every filter at every place of every chunk, by sums over its inputs."""
+    data = (text or "").encode()
+    starts = [0]
+    while starts[-1] + quality.CHUNK < len(data):
+        starts.append(starts[-1] + quality.STEP)
+    means = [0.0] * quality.FILTERS
+    for start in starts:
+        chunk = data[start : start + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+        inputs = [[float(x) for x in network.embedding[b]] for b in chunk]
+        for f in range(quality.FILTERS):
+            filter_ = network.filters[:, f].astype(float).tolist()
+            most = max(
+                sum(x * filter_[j * quality.EMBEDDING + e] for j in range(quality.WIDTH) for e, x in enumerate(inputs[at + j]))
+                for at in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE)
+            )
+            means[f] += max(0.0, most + float(network.bias[f])) / len(starts)
+    return 1 / (1 + np.exp(-(sum(m * float(w) for m, w in zip(means, network.weights, strict=True)) + float(network.offset[0]))))
+
+
+def test_scores_equal_a_direct_convolution(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CHUNK", 64)
+    monkeypatch.setattr(quality, "STEP", 64 - quality.WIDTH + quality.STRIDE)
+    draw = np.random.default_rng(3)
+    network = quality.ByteNetwork.untrained()
+    network.weights[:], network.bias[:], network.offset[:] = draw.normal(0, 1, 16), draw.normal(0, 0.1, 16), 0.2
+    texts = [None, "", "a", "é" * 32, "x" * 63, "y" * 64, "z" * 65, *("".join(draw.choice(list("abc é\n"), n)) for n in (122, 123, 180, 400))]
+    for text in texts:
+        assert abs(network.score(text) - direct_score(network, text)) < 1e-4
+
+
 def test_the_pipeline_stage_by_stage(spark):
     """What each stage must keep, by brute force from its own input."""
     import corpus_pipeline
