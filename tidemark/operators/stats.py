@@ -123,7 +123,8 @@ def carry_forward(
     ``changes`` are intervals (key, start_date, end_date, further columns). Days and changes of all kinds go through
     one sort per key, in which each day takes the newest change of each kind; nothing unfolds into days and
     no two sides are joined. Intervals of one key may share their start, all of these are carried; such that start on different
-    days must not overlap, or the job fails. A key's rows meet in one task: days of the calendar and its changes.
+    days must not overlap, or the job fails. A key's rows meet in one task: days of the calendar and its changes. Changes that
+    share key and start are one list, which each of them holds: pass different ones with a count, not copies.
     """
     at = F.unix_date(date_col) * 2
     rows = spine.withColumn("_at", at + 1)
@@ -279,11 +280,12 @@ def table_stats_byday(
     days of a table in one sweep, whose partitioning also serves the grouping.
     """
     reasons = size_excludes_latest(excludes, external_space)
-    versions = _attributes(tables.join(reasons, "schema_table", "left"), ("exclude_reason",))
+    reasons = reasons.groupBy("schema_table", "exclude_reason").agg(F.count(F.lit(1)).alias("reasons"))
+    versions = _attributes(tables.join(reasons, "schema_table", "left"), ("exclude_reason", "reasons"))
     spine = calendar_spine(object_lifespan(tables, run_ts), calendar, run_ts, min_date).select("schema_table", "date")
     sizes = _sizes(size_intervals(internal_space, ["tablesize_kb", "tbl_rows"]), size_intervals(external_space, ["tablesize_kb"]))
     sized = _with_sizes(_unfolded(carry_forward(spine, {"version": versions} | sizes), "version", F.explode))
-    grouped = sized.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_repeats"))
+    grouped = sized.groupBy(*GROUP).agg(F.sum(F.coalesce("reasons", F.lit(1))).alias("_repeats"))
     used = daily_usage_join(grouped, query_deps, "_repeats")
     return used.select(
         F.col("date").alias("snapshot_date"),

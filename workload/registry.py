@@ -157,7 +157,7 @@ def q_view_oid_backfill(i: Inputs) -> DataFrame:
 
 @query
 def q_object_dependencies(i: Inputs) -> DataFrame:
-    inside = internal_edges(i)
+    inside = durable(internal_edges(i))  # read by both kinds of edges
     return deps.object_dependencies(inside, deps.external_view_edges(i["view_definitions"], i["tables"], inside))
 
 
