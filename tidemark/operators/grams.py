@@ -1,6 +1,6 @@
 """Find names of any form inside texts, by the rarest stretch of each name.
 
-A name's anchor is, of its stretches of up to ANCHOR characters, the one that fewest other names hold. Anchors are the keys of an
+A name's anchor is, of its stretches of a fixed length (see ``anchor_width``), the one that fewest other names hold. Anchors are the keys of an
 equality join with the stretches of the texts, and what stands around a place that has one is compared with the name. So a
 stretch that most names share (``table_``) is no key of theirs, and the candidates per place are as few as the
 dictionary allows. Most places of a text hold no anchor at all: these are dropped in the scan by a bit map of the
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import broadcast_limit, lookup_join
 from tidemark.session import row_bytes
 
-#: Characters of an anchor; a shorter name is an anchor as a whole.
-ANCHOR = 8
+#: Characters of an anchor, the longest that fits; a still shorter name is an anchor as a whole. Texts are read once per length.
+WIDTHS = (8, 4)
 #: Characters of a text that are searched together; no fewer than the longest name.
 BLOCK = 1024
 #: Bits of the map of anchors, by the names it has to tell apart, at most.
@@ -30,13 +30,20 @@ def _stretches(text: Column, width: int) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{width}}}))"), F.lit(1))
 
 
+def anchor_width(name: Column) -> Column:
+    width = F.length(name)
+    for fixed in sorted(WIDTHS):
+        width = F.when(F.length(name) >= fixed, F.lit(fixed)).otherwise(width)
+    return width
+
+
 def anchors(names: DataFrame) -> DataFrame:
     """(name, width, anchor, before): each name's rarest stretch, and how many characters of the name stand before it.
 
     Names that share a stretch are counted with a map-side step; ties go to the smaller stretch, then the first place.
     """
-    own = names.withColumn("width", F.least(F.length("name"), F.lit(ANCHOR)))
-    widths = [r["width"] for r in own.select("width").distinct().collect()]  # at most ANCHOR
+    own = names.withColumn("width", anchor_width(F.col("name")))
+    widths = [r["width"] for r in own.select("width").distinct().collect()]  # five at most
     found = F.array().cast("array<string>")
     for width in widths:
         found = F.when(F.col("width") == width, _stretches(F.col("name"), width)).otherwise(found)
@@ -80,7 +87,7 @@ def contains_join_plain(
         F.count(F.lit(1)).alias("names"),
         F.coalesce(F.max(F.length("name")), F.lit(1)).alias("longest"),
         F.coalesce(F.sum(row_bytes(dictionary)), F.lit(0)).alias("bytes"),
-        F.collect_set(F.least(F.length("name"), F.lit(ANCHOR))).alias("widths"),
+        F.collect_set(anchor_width(F.col("name"))).alias("widths"),
     ).first()
     small = 2 * about["bytes"] <= broadcast_limit(names)  # an anchor is no longer than its name
     longest = about["longest"]
