@@ -1,23 +1,26 @@
 """Near-duplicates of vectors by a pivot-permutation index.
 
-A bounded sample gives the pivots, none too near another. Each vector is described by its nearest pivots in their
-order; the description grows with the logarithm of the number of pivots, which keeps the recall alike. Its first pivot is its home:
-a cell of the index holds the vectors at home there. To find a vector's partners, it visits the cells of the pivots that describe it. In a cell, inverted lists (pivot to residents) count the pivots that a visitor shares
-with each resident; those that share enough are verified by the exact cosine. Every vector has one home, so
-a link is counted once from either side, and no pair leaves the task: a tile gives numbers of links and a forest.
-
-Equal vectors are one row with a weight beforehand. Cells are cut by hash into tiles of bounded size, so a cell that holds a third
-of all rows is spread over many tasks; the number of pivots grows with the root of the number of vectors, up to MOST_PIVOTS.
+A bounded sample gives the pivots, none too near another. Each vector is described by its nearest pivots in
+their order; the description grows with the logarithm of the number of pivots, which keeps the recall alike.
+A vector's first pivot is its home: a cell of the index holds the vectors at home there. To find its partners,
+a vector visits the cells of the pivots that describe it. In a cell, inverted lists (pivot to residents) count
+the pivots that a visitor shares with each resident; those that share enough are verified by the exact cosine.
+Every vector has one home, so a link is counted once from either side, and no pair leaves the task: a tile
+gives numbers of links and a forest.
+
+Equal vectors are one row with a weight beforehand. Cells are cut by hash into tiles of bounded size, so a cell
+that holds a third of all rows is spread over many tasks; the number of pivots grows with the root of the
+number of vectors, up to MOST_PIVOTS.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
