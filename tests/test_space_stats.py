@@ -259,6 +259,18 @@ def test_overlapping_intervals_are_refused(frame):
         stats.carry_forward(spine, {"size": changes}).collect()
 
 
+def test_changes_that_share_a_start_are_listed_once(frame):
+    spine = frame("schema_table string, date date", ("a", DAY[1]), ("a", DAY[2]), ("a", DAY[4]), ("a", DAY[4]))
+    intervals = [("a", DAY[2], DAY[3], v) for v in range(2000)] + [("a", DAY[4], DAY[5], 7)]
+    changes = frame("schema_table string, start_date date, end_date date, v int", *intervals)
+    found = stats.carry_forward(spine, {"size": changes})
+    assert rows(found.select("date", F.size("size").alias("n"))) == [(DAY[1], 0), (DAY[2], 2000), (DAY[4], 1), (DAY[4], 1)]
+    # a list made by a window is held by each of the rows it was made of, so their number would grow with the square
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window [" in line]
+    assert windows and not any("collect_list" in line for line in windows)
+
+
 def test_shuffles_of_the_daily_tables(frame, tables, used, internal, external, excludes, calendar):
     spine = stats.calendar_spine(stats.object_lifespan(tables(("s.t", 1, None)), NOON(9)), calendar, NOON(9))
     sizes = [stats.size_intervals(internal((1, "s.t", "1", "1")), ["tablesize_kb", "tbl_rows"]), stats.size_intervals(external((1, "x.e", 1)), ["tablesize_kb"])]
