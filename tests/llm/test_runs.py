@@ -115,6 +115,13 @@ def test_runs_of_documents(spark):
     assert got == want and sum(w[0] > 0 for w in want.values()) > 5
 
 
+def test_a_progression_that_tells_a_period_beyond_the_end():
+    # 16 words at 160 recur from 177 on, in steps of two: the long stretch before them and the short one there tell 160 + 177 as a place
+    words = ["a", "b"] * 88 + ["x"] + ["a", "b"] * 12
+    flat = np.array(["abx".index(w) + 1 for w in words] + [0])
+    assert [(s, e - s, q) for s, e, q in periodic.maximal_runs(flat).tolist()] == plain_runs(words) == [(0, 176, 2), (177, 24, 2)]
+
+
 def test_awkward_texts_have_runs(spark, monkeypatch):
     docs = documents(spark)
     want = Counter((r.doc_id, plain_digest(r.doc_id, r.text)) for r in docs.collect() if len(r.text or "") < 9000)

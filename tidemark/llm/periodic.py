@@ -164,7 +164,8 @@ def maximal_runs(words: np.ndarray, least: int = LEAST, repeats: int = REPEATS)
     found = [np.empty((0, 3), np.int64)]
     for x, period in _candidates(order, ranks):
         x, period = np.unique(np.stack([x, period]), axis=1)
-        x, period = x[period > 0], period[period > 0]
+        there = (period > 0) & (x + period < len(order))  # progressions may tell periods beyond the end, where nothing is
+        x, period = x[there], period[there]
         start, end = x - _back(ranks, x, x + period), x + period + _ahead(ranks, x, x + period)
         long = end - start >= np.maximum(least, repeats * period)
         found.append(np.unique(np.stack([start, end, period], axis=1)[long], axis=0))
