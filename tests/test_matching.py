@@ -4,6 +4,7 @@ import pytest
 
 from tests.conftest import rows, ts
 from tidemark.operators import dependencies as deps
+from tidemark.operators import matching
 from tidemark.operators.joins import BROADCAST_BYTES_CONF, lookup_join, not_in
 from tidemark.operators.matching import contains_join, longest_match
 from tidemark.sources import INPUTS, TARGETS
@@ -224,3 +225,12 @@ def test_no_wide_column_moves_before_the_last_join(frame, tables, log):
     plan = deps.attribute_queries(log("s.t"), known, edges)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "SinglePartition" not in plan
     assert plan.count("Exchange hashpartitioning(query_id") == 2  # narrow matches, and the log once
+
+
+def test_partitions_of_matches_grow_with_the_dots(frame, monkeypatch):
+    names = frame("name string", ("a.b",), ("a.bc",))
+    texts = frame("id bigint, text string", *((n, "a.bc x.y") for n in range(50)))
+    monkeypatch.setattr(matching, "DOTS_AT_ONCE", 10)
+    found = matching.contains_join(names, texts)
+    assert found.rdd.getNumPartitions() == 10
+    assert found.groupBy("name").count().orderBy("name").collect() == [("a.b", 50), ("a.bc", 50)]
