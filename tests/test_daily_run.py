@@ -219,3 +219,12 @@ def test_stored_runs_continue_each_other_and_a_rerun_changes_nothing(spark, tmp_
     assert later["sql_queries"] == first["sql_queries"] and later["tables"] == first["tables"]
     assert len(later["internal_table_space"]) == 2 * len(first["internal_table_space"])
     assert set(new_state(spark)) <= set(TARGETS)
+
+
+def test_stored_inputs_outlive_the_run_that_reads_them_first(spark, frame, tmp_path):
+    part = frame("p_partkey bigint, p_type string, p_brand string", (1, "LARGE", "Brand#7"), (1, "LARGE", "Brand#8"))
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    inputs = Inputs(spark, str(tmp_path))
+    with intermediates(spark):
+        inputs["part_names"]
+    assert rows(inputs["part_names"]) == [(1, "LARGE.Brand#7")]
