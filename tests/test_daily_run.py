@@ -10,6 +10,7 @@ from tests.conftest import rows
 from tidemark.plans import new_state, read_state, run_all, store_run
 from tidemark.session import checkpoint_root, durable, intermediates
 from tidemark import sinks
+from tidemark.operators import dependencies as deps
 from tidemark.sources import TARGETS, empty_target, read_inputs, read_target
 from tidemark.sources.manifests import RUNS, names_in, newest, published
 from workload import oracle, registry
@@ -228,3 +229,24 @@ def test_stored_inputs_outlive_the_run_that_reads_them_first(spark, frame, tmp_p
     with intermediates(spark):
         inputs["part_names"]
     assert rows(inputs["part_names"]) == [(1, "LARGE.Brand#7")]
+
+
+def test_a_run_keeps_no_text_once_more_for_each_table_it_names(spark):
+    seen = []
+
+    def keep(df):
+        seen.append(df)
+        return durable(df)
+
+    results = run_all(registry.as_of(Inputs.over(spark, SF), registry.FIRST_RUN, False), new_state(spark), registry.FIRST_RUN, keep=keep)
+    assert not [df.columns for df in seen if "querytxt" in df.columns]
+    by_day = next(df for df in seen if "cnt_query" in df.columns)
+    moved = [line for line in by_day._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line]
+    assert moved and not [line for line in moved if "querytxt" in line.split("ReadSchema")[1]]
+    used, queries = results["query_dependencies"], results["sql_queries"]
+    assert rows(used, "query_id", "querytxt", "usename") == rows(used.select("query_id", "schema_table").join(queries, "query_id"), "query_id", "querytxt", "usename")
+    assert rows(used) == rows(deps.attribute_queries(queries, results["tables"], results["object_dependencies"]).select(*used.columns))
+
+
+def test_creation_times_are_looked_up_in_the_line_items_once(spark):
+    assert not [f for f in Inputs.over(spark, SF)["class_info"].inputFiles() if "lineitem" in f]

@@ -6,10 +6,11 @@ import random
 import pytest
 
 from tests.conftest import rows
-from tidemark.operators import increments
+from tidemark.operators import dependencies as deps
+from tidemark.operators import increments, matching
 from tidemark.operators.increments import additions, matches_after
 from tidemark.operators.matching import contains_join
-from tidemark.sources import empty_target
+from tidemark.sources import TARGETS, empty_target
 
 COLUMNS = ("query_id", "name", "match_location", "name_length")
 RUN = {n: dt.datetime(2024, 1, n, 6) for n in range(1, 30)}
@@ -79,3 +80,22 @@ def test_a_second_run_with_the_same_stamp_adds_nothing(spark, log, names):
     again = matches_after(names("a.b"), log((1, "a.b")), log(), first.added, first.names, RUN[1])
     assert rows(again.added) == [] and rows(again.current) == rows(first.current)
     assert increments.known_names(names("a.b", "a.b"), first.names, RUN[2]).count() == 1
+
+
+def test_kept_matches_move_once_to_be_attributed(spark, frame, log, names):
+    found = matches_after(names("s.t", "r.v"), log(), log((1, "s.t r.v")), empty_target(spark, "query_matches"), empty_target(spark, "matched_names"), RUN[1])
+    known = frame(TARGETS["tables"], {"schema_table": "s.t", "table_name": "t", "schema_name": "s", "objectsrc": "internal_table", "most_recent": True})
+    queries = frame(TARGETS["sql_queries"], {"query_id": 1, "querytxt": "s.t r.v"})
+    used = deps.attribute_matches(found.current, queries, known, empty_target(spark, "object_dependencies"))
+    plan = used._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(query_id") == 2  # narrow matches, and the log once
+    assert rows(used, "query_id", "schema_table", "querytxt") == [(1, "s.t", "s.t r.v")]
+
+
+def test_partitions_of_kept_matches_grow_with_their_number(spark, log, names, monkeypatch):
+    store = Store(spark, log)
+    store.run(names("a.b", "a.bc"), log(*((n, "a.bc") for n in range(30))))
+    monkeypatch.setattr(matching, "DOTS_AT_ONCE", 10)
+    found = matches_after(names("a.b", "a.bc"), store.texts, log((30, "a.bc")), store.matches, store.known, RUN[9])
+    assert found.current.rdd.getNumPartitions() == 7  # 62 matches
+    assert rows(found.current, "query_id", "name_length") == sorted((n, length) for n in range(31) for length in (3, 4))
